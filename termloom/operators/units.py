@@ -76,6 +76,8 @@ MASS = {u: f for u, to, f in FACTORS if to == "ng"}
 _SPACE = re.compile(r"[\s\u00a0\u2000-\u200b\u202f\u205f\u3000]+")
 _THOUSANDS_SPACE = re.compile(r"(?<![\d.,])(\d{1,3})((?: \d{3})+)(?!\d)")
 _NUMBER = re.compile(r"(?<![\w.,])[+]?(\d+(?:[.,]\d+)*|[.,]\d+)(e[+-]?\d{1,3})?(?![\d])")
+_FRACTION = re.compile(r"(?:(\d{1,3}) )?(\d{1,3}) ?[/\u2044] ?([1-9]\d{0,2})(?![\d/.,])")
+_GLYPHS = {"\u00bd": "1/2", "\u00bc": "1/4", "\u00be": "3/4"}
 _POWER = re.compile(r"(?:(?<=\d)|(?<![\w.]))\s*(?:[x×*]\s*)?10\s*(?:\^|\*\*|e)\s*(\d{1,2})(?!\d)")
 _PER = re.compile(r"(?:/\s*|\bper\s+|\bpar\s+|\bpour\s+|\ba\s+)(?:1\s+)?([^\W\d_]+(?:\s[^\W\d_]+)?)\s*$")
 _COMMA3 = re.compile(r",(?=\d{3}(?!\d))")
@@ -184,16 +186,22 @@ def read_number(text: str) -> Decimal | None:
 def read_amount(amount: str | None, unit: str | None, unit_2: str | None, a: ahocorasick.Automaton) -> tuple[Decimal, str, int] | None:
     """``number in that unit, unit, divisor`` that an amount and its unit columns state, or None.
 
-    None when there is not exactly one number (ranges, bounds, words, fractions)
+    A common fraction ("1/2", "1 1/2") is one number.  None when there is not
+    exactly one number (ranges, bounds, words)
     or no known unit; ``divisor`` is not 0 for mass per mass (it is the second
     unit's factor).
     """
     text = fold(amount)
     text = _THOUSANDS_SPACE.sub(lambda m: m[1] + re.sub(r"\D", "", m[2]), text)
-    m = _NUMBER.match(text)
-    if not m:
+    for glyph, plain in _GLYPHS.items():
+        text = text.replace(glyph, f" {plain}").strip()
+    if m := _FRACTION.match(text):
+        number = int(m[1] or 0) + Decimal(int(m[2])) / int(m[3])
+    elif m := _NUMBER.match(text):
+        number = read_number(m[0])
+    else:
         return None
-    number, rest = read_number(m[0]), text[m.end() :].strip()
+    rest = text[m.end() :].strip()
     if number is None:
         return None
     if not rest:
