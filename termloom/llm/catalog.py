@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from termloom.llm import components, formatting_duplicates
+from termloom.llm import canonical_terms, components, formatting_duplicates
 
 QUERIES = {
     "p1_found": formatting_duplicates.p1_found,
     "p3_found": components.p3_found,
+    "p4_found": canonical_terms.p4_found,
 }
 
 SQL: dict[str, str] = {
