@@ -113,14 +113,18 @@ def nodes(lines: DataFrame, key: str, text: str, tree: Mapping = CONCEPT_TREE) -
     return source.mapInPandas(run, NODE)
 
 
-def parents(tree: DataFrame) -> DataFrame:
+def levels(tree: Mapping = CONCEPT_TREE) -> int:
+    """Depth of the deepest node type below the record."""
+    return max((1 + levels(below) for _, below in tree.values()), default=0)
+
+
+def parents(tree: DataFrame, deepest: int = levels()) -> DataFrame:
     """Adds ``parent_kind, parent_pos, parent_pre``: the innermost node whose interval contains the node's.
 
     One pass over each record in pre-order: the last node one level up that
     opened before is the parent, and its interval must contain the node's.
     """
     w = Window.partitionBy("rec").orderBy("pre").rowsBetween(Window.unboundedPreceding, -1)
-    deepest = tree.agg(F.max("depth")).first()[0] or 0
     above = F.lit(None).cast("struct<pre:int,post:int,pos:int,kind:string>")
     for d in range(deepest):
         last = F.last(F.when(F.col("depth") == d, F.struct("pre", "post", "pos", "kind")), ignorenulls=True).over(w)
