@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from termloom.llm import canonical_terms, components, entity_matching, formatting_duplicates, leaks, survivors
+from termloom.llm import canonical_terms, components, entity_matching, formatting_duplicates, leaks, packing, survivors
 
 QUERIES = {
     "p1_found": formatting_duplicates.p1_found,
@@ -12,6 +12,7 @@ QUERIES = {
     "p5_truths": survivors.p5_truths,
     "p6_found": entity_matching.p6_found,
     "p6_confidence": entity_matching.p6_confidence,
+    "p8_pack": packing.p8_pack,
     "p9_found": leaks.p9_found,
 }
 
