@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from termloom.llm import canonical_terms, components, entity_matching, formatting_duplicates, leaks, packing, survivors
+from termloom.llm import canonical_terms, components, entity_matching, formatting_duplicates, leaks, packing, subjects, survivors
 
 QUERIES = {
     "p1_found": formatting_duplicates.p1_found,
@@ -14,6 +14,7 @@ QUERIES = {
     "p6_confidence": entity_matching.p6_confidence,
     "p8_pack": packing.p8_pack,
     "p9_found": leaks.p9_found,
+    "p10_found": subjects.p10_found,
 }
 
 SQL: dict[str, str] = {
