@@ -1 +1 @@
-"""."""
+"""Readers and converters of source files."""

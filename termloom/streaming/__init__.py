@@ -1 +1 @@
-"""."""
+"""Streaming counterparts of batch operators."""
