@@ -169,7 +169,7 @@ def closest(values: DataFrame, value: str, entries: DataFrame, entry_id: str, en
     forms = values.select(normalise(F.col(value)).alias("form")).where("form <> ''").distinct()
     if listed.count() <= most:
         # a number of its own: by bytes alone all forms would fall to one task
-        forms = forms.repartition(max(8, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))), "form")
+        forms = forms.repartition(max(8, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))))
         candidates = _probe(forms, [(r[0], r[1]) for r in listed.select("entry_id", "grams").collect()], threshold)
         named = candidates.join(F.broadcast(listed.select("entry_id", "entry_form")), "entry_id")
     else:
