@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from termloom import runtime
 
 #: Terms that span the space (the most frequent), and its dimensions; passes of the decomposition and of the refinement.
-TERMS, DIMENSIONS, PASSES, REFINEMENTS = 4096, 40, 4, 3
+TERMS, DIMENSIONS, PASSES, REFINEMENTS = 2048, 40, 4, 3
 #: A term counts if it stands in at least this share of the sentences (names do not).
 LEAST_SHARE = 2e-4
 #: A sentence that stands word for word in at least this share of the distinct texts is a stock line.
@@ -113,18 +113,30 @@ def _encode(docs: DataFrame, vocabulary: dict[str, int], stock: set[int]) -> Dat
     return docs.mapInPandas(run, "doc_id bigint, place int, ids array<int>")
 
 
-def vectors(ids: pd.Series, weight: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Projections of weighted, normalised sentences on ``basis``; and their entries (row, term, value)."""
-    size = ids.str.len().to_numpy()
+def vectors(ids: pd.Series, weight: np.ndarray, basis: np.ndarray, total: np.ndarray | None = None) -> np.ndarray:
+    """Projections of weighted, normalised sentences on ``basis``; ``total`` gets the matrix's transpose times them added.
+
+    Blocks of sentences are laid out densely (they are as wide as the
+    vocabulary, which is bounded), so that both products are matrix products.
+    """
+    size = ids.str.len().to_numpy().astype(int)
+    start = np.concatenate(([0], np.cumsum(size)))
     term = np.concatenate(ids.to_numpy()) if len(ids) else np.empty(0, dtype=np.int64)
     row = np.repeat(np.arange(len(size)), size)
     value = weight[term].astype(np.float32)
-    norm = np.sqrt(np.bincount(row, value**2, minlength=len(size)))
-    value = value / np.maximum(norm[row], 1e-12).astype(np.float32)
+    norm = np.sqrt(np.bincount(row, value.astype(float) ** 2, minlength=len(size)))
+    value /= np.maximum(norm[row], 1e-12).astype(np.float32)
     basis = basis.astype(np.float32)
-    start = np.concatenate(([0], np.cumsum(size)[:-1])).astype(int)
-    projected = np.add.reduceat(value[:, None] * basis[term], start, axis=0) if len(term) else np.empty((0, basis.shape[1]))
-    return projected, row, term, value
+    projected = np.empty((len(size), basis.shape[1]), dtype=np.float32)
+    for low in range(0, len(size), 1000):
+        high = min(len(size), low + 1000)
+        own = slice(start[low], start[high])
+        block = np.zeros((high - low, len(weight)), dtype=np.float32)
+        block[row[own] - low, term[own]] = value[own]
+        projected[low:high] = block @ basis
+        if total is not None:
+            total += block.T @ projected[low:high]
+    return projected
 
 
 def _added(parts: DataFrame, shape: tuple[int, int]) -> np.ndarray:
@@ -149,11 +161,7 @@ def decompose(encoded: DataFrame, weight: np.ndarray, dimensions: int = DIMENSIO
             total = np.zeros(q.shape)
             for batch in batches:
                 for low in range(0, len(batch), 20_000):
-                    p, row, term, value = vectors(batch["ids"].iloc[low : low + 20_000], w, q)
-                    order = np.argsort(term, kind="stable")
-                    at, first = np.unique(term[order], return_index=True)
-                    if len(at):
-                        total[at] += np.add.reduceat(value[order, None] * p[row[order]], first, axis=0)
+                    vectors(batch["ids"].iloc[low : low + 20_000], w, q, total)
             some = np.flatnonzero(total.any(axis=1))
             yield pd.DataFrame({"i": some, "v": list(total[some])})
 
@@ -222,7 +230,7 @@ def assign(documents: DataFrame, subjects: DataFrame, labels: DataFrame, share:
             for batch in batches:
                 for low in range(0, len(batch), 20_000):
                     some = batch.iloc[low : low + 20_000]
-                    p = vectors(some["ids"], w, q)[0]
+                    p = vectors(some["ids"], w, q)
                     if cs is None:
                         c, sure = some["c"].to_numpy(), np.ones(len(p), dtype=bool)
                     else:
@@ -238,7 +246,7 @@ def assign(documents: DataFrame, subjects: DataFrame, labels: DataFrame, share:
     for k, n in enumerate(named):
         ids = sorted({vocabulary[w] for w in _WORD.findall(f"{n} {about.get(n) or ''}".lower()) if w in vocabulary and df[vocabulary[w]] < 0.05 * df.max()})
         if ids:
-            seed[2 * k, :-1] += _unit(vectors(pd.Series([ids]), weight, basis)[0])[0]
+            seed[2 * k, :-1] += _unit(vectors(pd.Series([ids]), weight, basis))[0]
     centroids = _unit(seed[:, :-1])
     for _ in range(REFINEMENTS):
         moved = sums(encoded.select("ids"), centroids)
@@ -251,7 +259,7 @@ def assign(documents: DataFrame, subjects: DataFrame, labels: DataFrame, share:
         for batch in batches:
             for low in range(0, len(batch), 20_000):
                 some = batch.iloc[low : low + 20_000]
-                c, cos = _nearest(vectors(some["ids"], w, q)[0], cs)
+                c, cos = _nearest(vectors(some["ids"], w, q), cs)
                 good = cos >= ABOUT
                 out = pd.DataFrame({"doc_id": some["doc_id"].to_numpy()[good], "s": c[good] // 2})
                 yield out.groupby(["doc_id", "s"], as_index=False).size().rename(columns={"size": "n"})
