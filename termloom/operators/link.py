@@ -105,7 +105,9 @@ class DictionaryLinker:
     @staticmethod
     def _triples(c: Column) -> Column:
         padded = F.concat(F.lit("  "), c, F.lit("  "))
-        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substring(padded, i, F.lit(3))))
+        letters, n = F.split(padded, ""), F.length(padded) - 2
+        part = lambda k: F.slice(letters, F.lit(k), n)
+        return F.array_distinct(F.zip_with(F.zip_with(part(1), part(2), lambda x, y: F.concat(x, y)), part(3), lambda x, y: F.concat(x, y)))
 
     def link(self, queries: DataFrame) -> DataFrame:
         q = queries.select("id", text.normalise_query(F.col("text")).alias("t")).where("t <> ''").select("id", F.split("t", " ").alias("w"))

@@ -274,7 +274,7 @@ def common_units(df: DataFrame, row: str, kinds: dict[str, tuple[str, str, str]]
                         number.append(got[0])
                         unit.append(got[1])
                         divisor.append(got[2])
-            yield pd.DataFrame({"__row": rows, "quantity_kind": kind, "number": number, "unit": unit, "divisor": divisor})
+            yield runtime.frame({"__row": rows, "quantity_kind": kind, "number": number, "unit": unit, "divisor": divisor})
 
     picked = df.select(F.col(row).alias("__row"), *[F.col(c).cast("string").alias(f"__c{i}") for i, c in enumerate(columns)])
     read = picked.mapInPandas(run, f"__row {key_type}, quantity_kind string, number string, unit string, divisor bigint")

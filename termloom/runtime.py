@@ -11,6 +11,7 @@ import atexit
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +59,11 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def frame(columns: dict) -> pd.DataFrame:
+    """A pandas frame for a task's output; an empty list becomes a column of objects, which fits any type."""
+    return pd.DataFrame({k: pd.Series(v, dtype=object) if isinstance(v, list) and not v else v for k, v in columns.items()})
+
+
 def hot_keys(df: DataFrame, key: str, total: int | None = None, weight: Column | None = None) -> list:
     """Values of ``key`` that hold at least HOT_SHARE of the rows (at most 1 / HOT_SHARE of them)."""
     if total is None:
