@@ -42,9 +42,10 @@ def normalise(c: Column) -> Column:
 
 def pairs_of_letters(c: Column) -> Column:
     """The set of letter pairs of a text; a single letter is its own token."""
+    letters = F.split(c, "")
     n = F.length(c)
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(2)))
-    return F.when(n > 0, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
+    pairs = F.zip_with(F.slice(letters, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(letters, F.lit(2), F.greatest(n - 1, F.lit(0))), lambda x, y: F.concat(x, y))
+    return F.when(n > 1, F.array_distinct(pairs)).when(n == 1, F.array(c)).otherwise(F.array().cast("array<string>"))
 
 
 def _ordered(df: DataFrame, ranks: DataFrame, key: str) -> DataFrame:
@@ -125,7 +126,7 @@ def _probe(forms: DataFrame, entries: list[tuple[int, list[str]]], threshold: fl
                 out_form.extend([form] * len(ids))
                 out_id.append(ids)
                 out_j.append(j)
-            yield pd.DataFrame({"form": out_form, "entry_id": np.concatenate(out_id or [np.empty(0, dtype=np.int64)]), "jaccard": np.concatenate(out_j or [np.empty(0)])})
+            yield runtime.frame({"form": out_form, "entry_id": np.concatenate(out_id or [np.empty(0, dtype=np.int64)]), "jaccard": np.concatenate(out_j or [np.empty(0)])})
 
     return forms.select("form").mapInPandas(run, CANDIDATE)
 

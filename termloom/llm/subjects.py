@@ -78,7 +78,7 @@ def _count(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                     for w in set(words):
                         counts[w] = counts.get(w, 0) + 1
                     lines.add((_signature(words), mark))
-            yield pd.DataFrame(
+            yield runtime.frame(
                 {
                     "word": [*counts, *[None] * len(lines)],
                     "n": np.asarray([*counts.values(), *[0] * len(lines)], dtype=np.int64),
@@ -108,7 +108,7 @@ def _encode(docs: DataFrame, vocabulary: dict[str, int], stock: set[int]) -> Dat
                         doc.append(i)
                         place.append(k)
                         ids.append(got)
-            yield pd.DataFrame({"doc_id": doc, "place": place, "ids": ids})
+            yield runtime.frame({"doc_id": doc, "place": place, "ids": ids})
 
     return docs.mapInPandas(run, "doc_id bigint, place int, ids array<int>")
 
