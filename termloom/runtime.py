@@ -8,6 +8,8 @@ shared checkpoint folder, where they outlive the loss of executors.
 from __future__ import annotations
 
 import atexit
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -21,8 +23,29 @@ HOT_SHARE = 0.001
 HOT_ROWS = 20_000
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application, so that no path need be shared."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    package = os.path.dirname(os.path.abspath(__file__))
+    with tempfile.TemporaryDirectory() as folder:  # the driver's own; Spark copies the archive
+        copy = os.path.join(folder, "content", os.path.basename(package))
+        shutil.copytree(package, copy, ignore=shutil.ignore_patterns("__pycache__"))
+        archive = shutil.make_archive(os.path.join(folder, "termloom-package"), "zip", os.path.join(folder, "content"))
+        kept = os.path.join(tempfile.mkdtemp(prefix="termloom-"), "termloom-package.zip")
+        shutil.copy(archive, kept)
+    atexit.register(shutil.rmtree, os.path.dirname(kept), True)
+    spark.sparkContext.addPyFile(kept)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of a data directory."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -53,6 +76,7 @@ def durable(df: DataFrame) -> DataFrame:
     The files are removed when the process ends.
     """
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark)}/termloom-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_remove, spark, path)
