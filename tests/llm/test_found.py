@@ -219,8 +219,8 @@ def test_matching_edges(spark):
 
 def test_neighbours_cross_partitions(spark, monkeypatch):
     monkeypatch.setattr(entity_matching, "TASK_ROWS", 7)
-    rows = [(f"{i:03d}", i % 2, f"k{i // 3:03d}", f"k{i // 3:03d}", "", [], f"k{i // 3:03d}") for i in range(60)]
-    df = spark.createDataFrame(rows, "id string, side int, plain string, ordered string, marks string, ends array<string>, key string")
+    rows = [(f"{i:03d}", i % 2, f"k{i // 3:03d}", f"k{i // 3:03d}", "", [], [], f"k{i // 3:03d}") for i in range(60)]
+    df = spark.createDataFrame(rows, "id string, side int, plain string, ordered string, marks string, ends array<string>, words array<string>, key string")
     got = {(r["a"]["id"], r["b"]["id"]) for r in entity_matching.neighbours(df, 3).collect()}
     want = {(a, b) if int(a) % 2 == 0 else (b, a) for i in range(60) for j in range(i + 1, min(60, i + 4)) for a, b in [(f"{i:03d}", f"{j:03d}")] if (i + j) % 2}
     assert got == want
