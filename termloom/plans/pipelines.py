@@ -14,9 +14,9 @@ from termloom.sources import files
 
 
 def load_kb(spark: SparkSession, folder: str) -> KB:
-    """The merged concepts of a version folder (``concepts/*.jsonl``)."""
-    with open(os.path.join(folder, ".version")) as f:
-        f.read()
+    """The merged concepts of a version folder."""
+    if not os.path.exists(os.path.join(folder, ".version")):
+        raise FileNotFoundError(f"{folder} is no version folder: it has no .version")
     return model.from_records(files.read_concepts(spark, os.path.join(folder, "concepts", "concepts_merged.jsonl")))
 
 
