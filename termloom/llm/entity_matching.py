@@ -1,13 +1,14 @@
 """Problem 6: matching entities across sources without keys.
 
-Method: sorted neighbourhood over several composite sort keys. Every name of
-every record is sorted once per rotation of its words; a window slides over each
-sorted list and compares names of the two sides; what is near enough is scored
-by weighted field similarities; an assignment maximising total confidence picks
-the pairs.
-
-The sort is a range partitioning by (key, record), so a hot key spreads over
-partitions, and the head of each partition is copied behind the one before it.
+Method: sorted neighbourhood over several composite sort keys. Every distinct
+name has a key per rotation of its words, one from its end, and one without
+vowels; a window slides over the distinct keys, and the names of the two sides
+under equal or neighbouring keys are compared; what is near enough is scored by
+weighted field similarities; an assignment maximising total confidence picks the
+pairs. Records of equal names are compared once.
+
+The sort is a range partitioning by key, and the head of each partition is
+copied behind the one before it.
 Each record of the second side takes at most one of the first side, which may
 serve several; under that rule the assignment of greatest total confidence is
 each record's best pair.
@@ -25,8 +26,10 @@ from pyspark.sql import functions as F
 
 from termloom import runtime
 
-#: Rows after a row in a sorted list that it is compared with.
+#: Distinct keys after a key in the sorted list whose names its own are compared with.
 WINDOW = 12
+#: Letters that a name without its vowels must have to be a key.
+LEAST_BARE = 3
 #: Rows of a sorted list that one task should hold.
 TASK_ROWS = 100_000
 #: Similarity from which a pair of names is a candidate, and from which it counts as the same name.
@@ -125,15 +128,15 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def neighbours(rows: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``a, b``: structs of rows within ``window`` places of each other in the order of ``key, id``, from different sides."""
+    """``a, b``: structs of rows within ``window`` places of each other in the order of ``key, id, side``, from different sides."""
     total = rows.count()
     parts = max(1, -(-total // TASK_ROWS))
     placed = rows.repartitionByRange(parts, "key", "id") if parts > 1 else rows.coalesce(1)
     placed = runtime.durable(placed.withColumn("part", F.spark_partition_id()).withColumn("copy", F.lit(False)))
-    order = Window.partitionBy("part").orderBy("copy", "key", "id", "plain")
+    order = Window.partitionBy("part").orderBy("copy", "key", "id", "side")
     head = placed.withColumn("n", F.row_number().over(order)).where((F.col("n") <= window) & (F.col("part") > 0)).drop("n")
     both = placed.unionByName(head.withColumn("part", F.col("part") - 1).withColumn("copy", F.lit(True)))
-    me = F.struct("id", "side", "plain", "ordered", "marks", "ends", "words")
+    me = F.struct(*[c for c in rows.columns if c != "key"])
     after = F.collect_list(me).over(order.rowsBetween(1, window))
     near = both.withColumn("after", after).where("not copy")
     near = near.select(me.alias("a"), F.explode(F.filter("after", lambda x: x["side"] != F.col("side"))).alias("b"))
@@ -141,6 +144,31 @@ def neighbours(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     return near.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("b"))
 
 
+def sort_keys() -> Column:
+    """The sort keys of a name: its words from each word on, in order, from its end, and (if enough is left) without vowels."""
+    rotation = F.transform(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array_join(F.concat(F.slice("words", i + 1, F.size("words")), F.slice("words", F.lit(1), i)), ""))
+    bare = F.regexp_replace("plain", "[aeiouy]", "")
+    # a mark before the derived keys keeps each kind in its own stretch of the list
+    more = F.array(F.col("plain"), F.col("ordered"), F.concat(F.lit("<"), F.reverse("plain")), F.when(F.length(bare) >= LEAST_BARE, F.concat(F.lit("~"), bare)))
+    return F.array_distinct(F.array_compact(F.concat(rotation, more)))
+
+
+def near_names(names: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``name_1, name_2``: distinct names of side 0 and side 1 of likeness NEAR or more that meet under a key.
+
+    ``names`` has ``side, name, plain, ordered, words, ends``, one row per side
+    and name. Every key stands once per side in the sorted list, so equal keys
+    are next to each other however many names share them.
+    """
+    keys = runtime.durable(names.select("side", "name", F.explode(sort_keys()).alias("key")))
+    met = neighbours(keys.select("key", F.col("key").alias("id"), "side").distinct(), 2 * window).select(F.col("a.id").alias("key_1"), F.col("b.id").alias("key_2")).distinct()
+    one, two = (keys.where(F.col("side") == k).select(F.col("key").alias(f"key_{k + 1}"), F.col("name").alias(f"name_{k + 1}")) for k in (0, 1))
+    pairs = met.join(one, "key_1").join(two, "key_2").select("name_1", "name_2").distinct()
+    own = F.struct("plain", "ordered", "words", "ends")
+    one, two = (names.where(F.col("side") == k).select(F.col("name").alias(f"name_{k + 1}"), own.alias("ab"[k])) for k in (0, 1))
+    return pairs.join(one, "name_1").join(two, "name_2").where(likeness(F.col("a"), F.col("b")) >= NEAR).select("name_1", "name_2")
+
+
 def match(names: DataFrame, window: int = WINDOW) -> DataFrame:
     """``id_1, id_2, confidence``: pairs of records of side 0 and side 1 that are the same entity.
 
@@ -172,15 +200,18 @@ def match(names: DataFrame, window: int = WINDOW) -> DataFrame:
     # at most 1 / COMMON words per name position are common: a bounded list
     common = [r[0] for r in named.select("id", F.explode("words").alias("w")).distinct().groupBy("w").count().where(F.col("count") >= max(3, records * COMMON)).select("w").collect()]
 
-    rotation = F.transform(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array_join(F.concat(F.slice("words", i + 1, F.size("words")), F.slice("words", F.lit(1), i)), ""))
-    keys = named.select("id", "side", "plain", "ordered", "marks", "ends", "words", F.explode(F.array_distinct(F.concat(rotation, F.array(F.col("plain"))))).alias("key"))
-    met = neighbours(keys.distinct(), window)
-    pairs = met.where(likeness(F.col("a"), F.col("b")) >= NEAR).select(F.col("a.id").alias("id_1"), F.col("b.id").alias("id_2")).distinct()
-
+    # records of equal names have equal scores: of side 0 the least stands for them, of side 1 each gets its pair
     name = F.struct("plain", "ordered", "marks", "proper", "words", "ends")
-    profile = runtime.durable(named.groupBy("id", "side").agg(F.collect_list(name).alias("names")))
-    pairs = pairs.join(profile.where("side = 0").select(F.col("id").alias("id_1"), F.col("names").alias("ours")), "id_1")
-    pairs = pairs.join(profile.where("side = 1").select(F.col("id").alias("id_2"), F.col("names").alias("theirs")), "id_2")
+    profile = runtime.durable(named.groupBy("id", "side").agg(F.array_sort(F.collect_list(name)).alias("names")))
+    same = runtime.durable(profile.groupBy("side", "names").agg(F.min("id").alias("id")))
+    held = same.select("id", "side", F.explode("names").alias("n")).select("id", "side", *[F.col(f"n.{c}").alias(c) for c in ("plain", "ordered", "words", "ends")])
+    held = runtime.durable(held.withColumn("name", F.xxhash64("plain", "ordered", "words", "ends")).distinct())
+    near = runtime.durable(near_names(held.drop("id").distinct(), window))
+    one, two = (held.where(F.col("side") == k).select(F.col("name").alias(f"name_{k + 1}"), F.col("id").alias(f"id_{k + 1}")) for k in (0, 1))
+    pairs = runtime.lookup(one, near, "name_1", F.xxhash64("id_1"), runtime.hot_keys(one, "name_1"), "inner").select("id_1", "name_2").distinct()
+    pairs = runtime.lookup(two, pairs, "name_2", F.xxhash64("id_2"), runtime.hot_keys(two, "name_2"), "inner").select("id_1", "id_2").distinct()
+    pairs = pairs.join(same.where("side = 0").select(F.col("id").alias("id_1"), F.col("names").alias("ours")), "id_1")
+    pairs = pairs.join(same.where("side = 1").select(F.col("id").alias("id_2"), F.col("names").alias("theirs")), "id_2")
     is_common = lambda x: F.arrays_overlap(x["words"], F.array(*[F.lit(w) for w in common])) if common else F.lit(False)
 
     def best(theirs: Column, ours: Column, fit) -> Column:
@@ -201,7 +232,11 @@ def match(names: DataFrame, window: int = WINDOW) -> DataFrame:
     holds = (F.col("proper") >= SAME) | ((F.col("other") >= SAME) & ~F.col("against"))
     scored = scored.where(holds).withColumn("confidence", 0.6 * F.col("proper") + 0.25 * F.col("other") + 0.15 * F.col("share"))
     rank = F.row_number().over(Window.partitionBy("id_2").orderBy(F.desc(F.col("proper") >= SAME), F.desc("confidence"), "id_1"))
-    return scored.withColumn("n", rank).where("n = 1").select("id_1", "id_2", "confidence")
+    found = scored.withColumn("n", rank).where("n = 1").select("id_1", "confidence", F.col("theirs").alias("names"))
+    # the sets of names are unique in found
+    mine = profile.where("side = 1").select(F.col("id").alias("id_2"), F.xxhash64("names").alias("h"), "names")
+    mine = runtime.lookup(mine, found.select(F.xxhash64("names").alias("h"), F.col("names").alias("held"), "id_1", "confidence"), "h", F.xxhash64("id_2"), runtime.hot_keys(mine, "h"), "inner")
+    return mine.where("names = held").select("id_1", "id_2", "confidence")
 
 
 def ingredient_names(rows: DataFrame) -> DataFrame:

@@ -226,6 +226,15 @@ def test_neighbours_cross_partitions(spark, monkeypatch):
     assert got == want
 
 
+def test_runs_of_equal_names_are_compared_whole(spark):
+    """An identical name meets however many others share it, and a slip in the first letters of a one-word name does not part it."""
+    many = [(f"D{k:03d}", 1, "Tunpopotella", None) for k in range(20)] + [(f"D{k:03d}", 1, f"{'bcdfg'[k % 5]}o{'klmn'[k // 5]}azzuvit", None) for k in range(20)]
+    rows = many + [("N000", 0, "Tunpopotella", True), ("N001", 0, "Saccharogykix", True), ("D900", 1, "Zhccharogykix", None)]
+    fill = [(f"D{k}", 1, f"{a}{b}qupexomiw{a}", None) for k, (a, b) in enumerate(((a, b) for a in "stuvwxyz" for b in "abcdefgh"), 1000)]
+    got = {(r["id_1"], r["id_2"]) for r in entity_matching.match(names(spark, rows + fill)).collect()}
+    assert got == {("N001", "D900")} | {("N000", f"D{k:03d}") for k in range(20)}
+
+
 # 8
 
 
