@@ -23,12 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom import runtime
+from termloom.llm import near_copies
 
 #: Terms that span the space (the most frequent), and its dimensions; passes of the decomposition and of the refinement.
 TERMS, DIMENSIONS, PASSES, REFINEMENTS = 2048, 40, 4, 3
 #: A term counts if it stands in at least this share of the sentences (names do not).
 LEAST_SHARE = 2e-4
-#: A sentence that stands word for word in at least this share of the distinct texts is a stock line.
+#: A sentence that stands word for word in at least this share of the distinct texts (near copies count as one) is a stock line.
 STOCK_SHARE, STOCK_TEXTS = 0.003, 4
 #: Cosine similarity from which a sentence is about a subject, and from which it refines the centroid; least share of a
 #: sentence's norm that the space must hold (sentences of no subject lie outside it).
@@ -41,10 +42,11 @@ SEED_DOCUMENTS = 50_000
 _TAG = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|<!--.*?-->", re.S)
 _END = re.compile(r"(?<=[.!?…])[\"')\]]*\s+|\n+|\s[•*·]\s")
 _WORD = re.compile(r"[^\W\d_]+")
+_TOKEN = re.compile(r"[^\W_]+")
 
 
-def sentences(text: str | None) -> list[list[str]]:
-    """The sentences of a text as lists of words in lower case; markup and empty ones are left out."""
+def sentences(text: str | None) -> list[tuple[list[str], list[str]]]:
+    """The sentences of a text, each as its words in lower case, and its words and figures; markup and empty ones are left out."""
     if not text:
         return []
     if "<" in text:
@@ -53,44 +55,68 @@ def sentences(text: str | None) -> list[list[str]]:
         text = html.unescape(text)
     # a line that is not ended goes on in the next one
     text = re.sub(r"(?<![.!?:…\n])[ \t]*\r?\n(?=[ \t]*[a-zà-ÿ])", " ", text)
-    found = (_WORD.findall(s.lower()) for s in _END.split(text) if s)
-    return [w for w in found if w]
+    found = []
+    for s in _END.split(text):
+        tokens = _TOKEN.findall(s.lower()) if s else []
+        words = tokens if "".join(tokens).isalpha() else _WORD.findall(s.lower()) if tokens else []
+        if words:
+            found.append((words, tokens))
+    return found
 
 
-def _signature(words: list[str]) -> int:
+def _signature(tokens: list[str]) -> int:
     import xxhash
 
-    return xxhash.xxh64_intdigest(" ".join(words)) - 2**63
+    return xxhash.xxh64_intdigest(" ".join(tokens)) - 2**63
 
 
-def _count(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``word, n`` (sentences that have it) and ``line, text`` (sentences and the texts that have them), counted where they lie."""
+def _count(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """``word, n`` (sentences that have it), ``line, texts`` (sentences and how many texts have them), and the number of texts.
+
+    Texts are distinct ones, and a group of near copies counts as one: what
+    they share is their own content, not a stock line.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
+        known: dict[str, int] = {}
         for batch in batches:
             counts: dict[str, int] = {}
             lines: set[tuple[int, int]] = set()
+            signed: dict[int, list[int]] = {}
+            if len(known) > 1_000_000:
+                known.clear()
             for text in batch["text"]:
                 mark = xxhash.xxh64_intdigest(text) - 2**63
-                for words in sentences(text):
+                found = sentences(text)
+                for words, tokens in found:
                     for w in set(words):
                         counts[w] = counts.get(w, 0) + 1
-                    lines.add((_signature(words), mark))
+                    lines.add((_signature(tokens), mark))
+                if mark not in signed:
+                    signed[mark] = near_copies.signature([w for words, _ in found for w in words], known)
+            none, nothing, unsigned = [None] * len(counts), [None] * len(lines), [None] * len(signed)
             yield runtime.frame(
                 {
-                    "word": [*counts, *[None] * len(lines)],
-                    "n": np.asarray([*counts.values(), *[0] * len(lines)], dtype=np.int64),
-                    "line": pd.array([*[None] * len(counts), *[a for a, _ in lines]], dtype="Int64"),
-                    "mark": pd.array([*[None] * len(counts), *[b for _, b in lines]], dtype="Int64"),
+                    "word": [*counts, *nothing, *unsigned],
+                    "n": np.asarray([*counts.values(), *[0] * (len(lines) + len(signed))], dtype=np.int64),
+                    "line": pd.array([*none, *[a for a, _ in lines], *unsigned], dtype="Int64"),
+                    "mark": pd.array([*none, *[b for _, b in lines], *signed], dtype="Int64"),
+                    "sig": [*none, *nothing, *signed.values()],
                 }
             )
 
-    both = runtime.durable(docs.select("text").mapInPandas(run, "word string, n bigint, line bigint, mark bigint"))
+    both = runtime.durable(docs.select("text").mapInPandas(run, "word string, n bigint, line bigint, mark bigint, sig array<bigint>"))
     words = both.where("word is not null").groupBy("word").agg(F.sum("n").alias("n"))
-    lines = both.where("line is not null").select("line", "mark").distinct().groupBy("line").agg(F.count(F.lit(1)).alias("texts"))
-    return words, lines
+    signed = both.where("sig is not null").select("mark", "sig")
+    lines, marks = both.where("line is not null").select("line", "mark"), signed.select("mark").distinct()
+    copies = near_copies.groups(signed)
+    if not copies.isEmpty():
+        one = F.coalesce("root", "mark").alias("mark")
+        lines, marks = lines.distinct().join(copies, "mark", "left").select("line", one), marks.join(copies, "mark", "left").select(one)
+    lines = lines.distinct().groupBy("line").agg(F.count(F.lit(1)).alias("texts"))
+    return words, lines, marks.distinct().count()
 
 
 def _encode(docs: DataFrame, vocabulary: dict[str, int], stock: set[int]) -> DataFrame:
@@ -102,9 +128,9 @@ def _encode(docs: DataFrame, vocabulary: dict[str, int], stock: set[int]) -> Dat
         for batch in batches:
             doc, place, ids = [], [], []
             for i, text in zip(batch["doc_id"], batch["text"]):
-                for k, words in enumerate(sentences(text)):
+                for k, (words, tokens) in enumerate(sentences(text)):
                     got = sorted({known[w] for w in words if w in known})
-                    if got and _signature(words) not in lines:
+                    if got and _signature(tokens) not in lines:
                         doc.append(i)
                         place.append(k)
                         ids.append(got)
@@ -190,16 +216,15 @@ def assign(documents: DataFrame, subjects: DataFrame, labels: DataFrame, share:
 
     Edge cases: null or empty texts, and texts without a sentence near any
     centroid, have no subject; labels that are spelled otherwise (case, outer
-    blanks) count, unknown ones do not; repeated texts count once in the
-    statistics and get a result each; ties in similarity go to the first
+    blanks) count, unknown ones do not; repeated texts and near copies count once
+    in the count of stock lines and get a result each; ties in similarity go to the first
     subject by name; empty tables give no rows; extra columns are ignored.
     """
     spark = documents.sparkSession
     sc = spark.sparkContext
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.when(F.lower(F.trim("lang")).startswith("fr"), 1).otherwise(0).alias("fr")).where("doc_id is not null and text is not null")
-    words, lines = _count(docs)
+    words, lines, texts = _count(docs)
     words, lines = runtime.durable(words), runtime.durable(lines)
-    texts = docs.select(F.xxhash64("text").alias("t")).distinct().count()
     least = max(STOCK_TEXTS, int(texts * STOCK_SHARE))
     # at most sentences per text / STOCK_SHARE lines, and TERMS words, whatever the corpus
     stock = {r[0] for r in lines.where(F.col("texts") >= least).select("line").collect()}

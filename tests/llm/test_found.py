@@ -389,3 +389,32 @@ def test_subjects_held_out(spark):
     assert not got[900] and not got[901] and not got[902]
     assert subjects.assign(df.limit(0), listed, lab).collect() == []
     assert subjects.assign(df, listed.limit(0), lab).collect() == []
+
+
+SUBJECTS = [("law", "courts and statutes"), ("sport", "teams"), ("botany", None)]
+
+
+def subjects_of(spark, docs, gold):
+    listed = spark.createDataFrame(SUBJECTS, "subject string, about string")
+    lab = spark.createDataFrame([(k, s) for k in range(60) for s in gold[k]], "doc_id bigint, subject string")
+    got = collections.defaultdict(set)
+    for r in subjects.assign(spark.createDataFrame(docs, "doc_id bigint, text string, lang string"), listed, lab).collect():
+        got[r["doc_id"]].add(r["subject"])
+    return got
+
+
+def test_near_copies_keep_their_subjects(spark):
+    """A page copied with other markup, date or slip is no heap of stock lines, nor are lines that differ in figures."""
+    docs, gold = corpus()
+    nouns, verbs = "runner goalkeeper league referee squad match final coach".split(), "scored trained beat paced".split()
+    page = [f"the {nouns[k % 8]} {verbs[k % 4]} the {nouns[(k + 3) % 8]} after a {nouns[(3 * k + 1) % 8]}" for k in range(12)]
+    for k in range(100):
+        mine = list(page)
+        mine[k % 12] = mine[k % 12].replace("after", f"aft{k}er")
+        docs.append((1000 + k, f"<p>Seen on day {k}</p>\n" + (". " if k % 2 else ".<br/>\n").join(mine) + ". the question stays open.", "en"))
+    docs.append((902, "the question stays open.", "en"))
+    got = subjects_of(spark, docs, gold)
+    assert [got[1000 + k] for k in range(100)] == [{"sport"}] * 100
+    assert not got[902]
+    (_, one), (_, two) = subjects.sentences("clause 5 upheld. clause 7 upheld.")
+    assert subjects._signature(one) != subjects._signature(two)
