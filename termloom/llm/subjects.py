@@ -7,8 +7,9 @@ refined iteratively over the whole corpus. A document has the subjects of at
 least a sixth of its sentences with any subject.
 
 The decomposition is a subspace iteration: every pass sends to each task a
-matrix of terms x dimensions (of fixed size) and adds up one of the same size,
-whatever the corpus holds.
+matrix of terms x dimensions and adds up one of the same size. Every word above
+a share of the sentences is a term, so there are at most as many as the words of
+a sentence divided by that share, whatever the corpus holds.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from termloom import runtime
 from termloom.llm import near_copies
 
-#: Terms that span the space (the most frequent), and its dimensions; passes of the decomposition and of the refinement.
-TERMS, DIMENSIONS, PASSES, REFINEMENTS = 2048, 40, 4, 3
+#: Dimensions of the space; passes of the decomposition and of the refinement.
+DIMENSIONS, PASSES, REFINEMENTS = 40, 4, 3
 #: A term counts if it stands in at least this share of the sentences (names do not).
 LEAST_SHARE = 2e-4
 #: A sentence that stands word for word in at least this share of the distinct texts (near copies count as one) is a stock line.
@@ -142,8 +143,8 @@ def _encode(docs: DataFrame, vocabulary: dict[str, int], stock: set[int]) -> Dat
 def vectors(ids: pd.Series, weight: np.ndarray, basis: np.ndarray, total: np.ndarray | None = None) -> np.ndarray:
     """Projections of weighted, normalised sentences on ``basis``; ``total`` gets the matrix's transpose times them added.
 
-    Blocks of sentences are laid out densely (they are as wide as the
-    vocabulary, which is bounded), so that both products are matrix products.
+    Blocks of sentences are laid out densely over the terms they have, so that
+    both products are matrix products.
     """
     size = ids.str.len().to_numpy().astype(int)
     start = np.concatenate(([0], np.cumsum(size)))
@@ -154,14 +155,16 @@ def vectors(ids: pd.Series, weight: np.ndarray, basis: np.ndarray, total: np.nda
     value /= np.maximum(norm[row], 1e-12).astype(np.float32)
     basis = basis.astype(np.float32)
     projected = np.empty((len(size), basis.shape[1]), dtype=np.float32)
-    for low in range(0, len(size), 1000):
-        high = min(len(size), low + 1000)
+    step = max(50, min(1000, 16_000_000 // max(1, len(weight))))  # a block has at most the whole vocabulary's columns
+    for low in range(0, len(size), step):
+        high = min(len(size), low + step)
         own = slice(start[low], start[high])
-        block = np.zeros((high - low, len(weight)), dtype=np.float32)
-        block[row[own] - low, term[own]] = value[own]
-        projected[low:high] = block @ basis
+        used, at = np.unique(term[own], return_inverse=True)
+        block = np.zeros((high - low, len(used)), dtype=np.float32)
+        block[row[own] - low, at] = value[own]
+        projected[low:high] = block @ basis[used]
         if total is not None:
-            total += block.T @ projected[low:high]
+            total[used] += block.T @ projected[low:high]
     return projected
 
 
@@ -169,7 +172,7 @@ def _added(parts: DataFrame, shape: tuple[int, int]) -> np.ndarray:
     """Sum of the matrices that tasks sent row by row."""
     total = np.zeros(shape)
     added = parts.groupBy("i").agg(*[F.sum(F.col("v")[k]).alias(f"v{k}") for k in range(shape[1])])
-    for r in added.collect():  # terms x dimensions, a fixed size
+    for r in added.collect():  # terms x dimensions
         total[r[0]] = r[1:]
     return total
 
@@ -226,10 +229,10 @@ def assign(documents: DataFrame, subjects: DataFrame, labels: DataFrame, share:
     words, lines, texts = _count(docs)
     words, lines = runtime.durable(words), runtime.durable(lines)
     least = max(STOCK_TEXTS, int(texts * STOCK_SHARE))
-    # at most sentences per text / STOCK_SHARE lines, and TERMS words, whatever the corpus
+    # at most sentences per text / STOCK_SHARE lines, and words per sentence / LEAST_SHARE words, whatever the corpus
     stock = {r[0] for r in lines.where(F.col("texts") >= least).select("line").collect()}
     lowest = max(3, int(LEAST_SHARE * (words.agg(F.max("n")).first()[0] or 0)))
-    frequent = words.where(F.col("n") >= lowest).orderBy(F.desc("n"), "word").limit(TERMS).collect()
+    frequent = words.where(F.col("n") >= lowest).orderBy(F.desc("n"), "word").collect()
     named = [r["subject"] for r in subjects.select("subject").where("subject is not null").distinct().orderBy("subject").collect()]
     schema = "doc_id bigint, subject string, share double"
     if not frequent or not named:

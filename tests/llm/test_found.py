@@ -418,3 +418,18 @@ def test_near_copies_keep_their_subjects(spark):
     assert not got[902]
     (_, one), (_, two) = subjects.sentences("clause 5 upheld. clause 7 upheld.")
     assert subjects._signature(one) != subjects._signature(two)
+
+
+def test_words_beyond_the_most_frequent_have_subjects(spark):
+    """Subject words that thousands of words of stock lines outnumber still tell the subject."""
+    docs, gold = corpus()
+    rng = random.Random(4)
+    word = lambda k: "".join("bcdfghklmnprstvz"[k // 16**j % 16] + "aeiou"[(k + j) % 5] for j in range(3))
+    lines = [" ".join(word(k) for k in range(low, low + 40)) for low in range(0, 2600, 40)]
+    docs += [(5000 + k, ". ".join(rng.sample(lines, 4)) + ".", "en") for k in range(650)]
+    rare = "gavel writ bailiff docket plea alibi".split()
+    docs += [(9000 + k, f"{' '.join(rng.sample(rare, 3))} {k}.", "en") for k in range(40)]
+    listed = spark.createDataFrame([*SUBJECTS, ("crime", None)], "subject string, about string")
+    lab = spark.createDataFrame([(k, s) for k in range(60) for s in gold[k]] + [(9000 + k, "crime") for k in range(20)], "doc_id bigint, subject string")
+    got = subjects.assign(spark.createDataFrame(docs, "doc_id bigint, text string, lang string"), listed, lab).where("doc_id >= 9020")
+    assert sorted((r["doc_id"], r["subject"]) for r in got.collect()) == [(9000 + k, "crime") for k in range(20, 40)]
