@@ -5,9 +5,9 @@ walk, under which edit distance shows as Hamming distance; bit-sampling LSH over
 the embeddings, repeated until the target recall, gives candidate items per
 document; each candidate is verified by exact edit distance, passage by passage.
 
-The items are the query set: they are indexed in blocks of bounded size, each
-block is sent to the tasks, and every document is read whole, where it lies,
-without a shuffle.
+The items are the query set: their distinct texts are indexed in blocks of
+bounded size, each block is sent to the tasks, and every document is read whole,
+where it lies. What is stock or rare is counted over the whole list before.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,24 +24,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom import runtime
+from termloom.llm import near_copies
 
 #: Words of a window; an item is covered by its windows, so passages of half an item hold many.
 WINDOW = 8
 #: A document's window matches an item's at up to this weighted edit distance. An extra word costs 1; a missing or
-#: changed one costs 1, or RARE_COST if at most RARE_SHARE of the items have it (a name, a number).
+#: changed one costs 1, or RARE_COST if at most RARE_SHARE of the distinct items have it (a name, a number).
 EDITS, RARE_COST, RARE_SHARE = 3, 2, 0.03
 #: Sampled positions of an embedding, and Hamming similarity at which TARGET_RECALL must be reached.
 SAMPLED, SIMILAR, TARGET_RECALL = 4, 0.75, 0.95
 #: Share of an item's words that a document must carry ("about half").
 SHARE = 0.5
-#: A window that this many items share is a stock phrase and identifies none of them.
+#: A window that this many distinct items share is a stock phrase and identifies none of them (near copies count as one).
 STOCK_ITEMS = 4
-#: Items of one block of the index.
+#: Distinct items of one block of the index.
 BLOCK_ITEMS = 20_000
 
 _TAG = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|<!--.*?-->", re.S)
 _WORD = re.compile(r"[^\W_]+")
-PAIR = "doc_id bigint, item_id bigint, share double"
 
 
 def words(text: str | None) -> list[str]:
@@ -55,6 +55,13 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def stretches(ws: list[str], size: int = WINDOW) -> list[int]:
+    """The windows of a list of words as hashes, in order."""
+    import xxhash
+
+    return [xxhash.xxh64_intdigest(" ".join(ws[k : k + size])) - 2**63 for k in range(len(ws) - size + 1)]
+
+
 def repetitions(target: float = TARGET_RECALL, similar: float = SIMILAR, sampled: int = SAMPLED) -> int:
     """Repetitions at which a window of this Hamming similarity is met with probability ``target``."""
     return math.ceil(math.log(1 - target) / math.log(1 - similar**sampled))
@@ -102,23 +109,27 @@ class Embedding:
 
 
 class ItemIndex:
-    """LSH tables over the windows of a block of items."""
+    """LSH tables over the windows of a block of items.
+
+    ``common`` (words that are not rare) and ``stock`` (windows, as of
+    ``stretches``) are those of the whole list; without them the block is it.
+    """
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int, str]], common: set[str] | None = None, stock: set[int] | None = None) -> None:
         texts = [words(t) for _, t in items]
+        marks = [stretches(t) for t in texts]
+        if common is None or stock is None:
+            distinct = {tuple(t): set(m) for t, m in zip(texts, marks)}
+            spread = Counter(w for t in distinct for w in set(t))
+            common = {w for w, n in spread.items() if n > max(2, RARE_SHARE * len(distinct))}
+            stock = {m for m, n in Counter(m for ms in distinct.values() for m in ms).items() if n >= STOCK_ITEMS}
         self.ids = [i for i, _ in items]
         self.vocabulary = {w: k for k, w in enumerate(sorted({w for t in texts for w in t}), 1)}
         self.tokens = [np.asarray([self.vocabulary[w] for w in t], dtype=np.int32) for t in texts]
-        spread = np.zeros(len(self.vocabulary) + 1)
-        for t in self.tokens:
-            spread[np.unique(t)] += 1
-        self.cost = np.where(spread <= max(2, RARE_SHARE * len(items)), RARE_COST, 1).astype(np.int16)
+        self.cost = np.full(len(self.vocabulary) + 1, RARE_COST, dtype=np.int16)
+        self.cost[[k for w, k in self.vocabulary.items() if w in common]] = 1
         self.embedding = Embedding(len(self.vocabulary) + 1)
-        shared: dict[bytes, set[int]] = defaultdict(set)
-        for k, t in enumerate(self.tokens):
-            for row in windows(t):
-                shared[row.tobytes()].add(k)
-        self.stock = {w for w, owners in shared.items() if len(owners) >= STOCK_ITEMS}
+        self.stock = {row.tobytes() for t, ms in zip(self.tokens, marks) for row, m in zip(windows(t), ms) if m in stock}
         owner, rows = [], []
         for k, t in enumerate(self.tokens):
             for row in windows(t):
@@ -233,21 +244,50 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
     shorter quotations are not enough.
 
     Edge cases: null or empty texts match nothing; items under WINDOW words
-    match nothing; repeated documents give a row each, repeated items too;
-    texts of any length are read whole; empty tables give no rows; extra
-    columns are ignored.
+    match nothing; repeated documents give a row each, repeated items too, and
+    items of the same words under several ids a row for each; texts of any
+    length are read whole; empty tables give no rows; extra columns are ignored.
     """
     spark = documents.sparkSession
     listed = items.select(F.col(item_id).cast("bigint").alias("item_id"), F.col(text).alias("text")).where("item_id is not null and text is not null")
-    parts = max(1, -(-listed.count() // block))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
+        known: dict[str, int] = {}
+        for batch in batches:
+            texts = [words(t) for t in batch["text"]]
+            yield runtime.frame(
+                {
+                    "item_id": batch["item_id"],
+                    "mark": np.asarray([xxhash.xxh64_intdigest(" ".join(t)) - 2**63 for t in texts], dtype=np.int64),
+                    "text": batch["text"],
+                    "words": [sorted(set(t)) for t in texts],
+                    "windows": [list(set(stretches(t))) for t in texts],
+                    "sig": [near_copies.signature(t, known) for t in texts],
+                }
+            )
+
+    each = runtime.durable(listed.mapInPandas(read, "item_id bigint, mark bigint, text string, words array<string>, windows array<bigint>, sig array<bigint>"))
+    distinct = runtime.durable(each.dropDuplicates(["mark"]).drop("item_id"))
+    own = distinct.join(near_copies.groups(distinct), "mark", "left").select(F.coalesce("root", "mark").alias("group"), "words", "windows")
+    own = runtime.durable(own)
+    total = own.select("group").distinct().count()
+    # at most words per item / RARE_SHARE words are common: a bounded list
+    spread = own.select("group", F.explode("words").alias("w")).distinct().groupBy("w").count()
+    common = {r[0] for r in spread.where(F.col("count") > max(2, RARE_SHARE * total)).select("w").collect()}
+    shared = own.select("group", F.explode("windows").alias("s")).distinct().groupBy("s").count()
+    stock = runtime.durable(shared.where(F.col("count") >= STOCK_ITEMS).select("s"))
+    parts = max(1, -(-distinct.count() // block))
     docs = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null and text is not null")
     found = []
     for part in range(parts):
-        mine = listed.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part) if parts > 1 else listed
-        sent = spark.sparkContext.broadcast([(r[0], r[1]) for r in mine.collect()])
+        mine = distinct.where(F.pmod(F.xxhash64("mark"), F.lit(parts)) == part) if parts > 1 else distinct
+        phrases = {r[0] for r in mine.select(F.explode("windows").alias("s")).distinct().join(stock, "s", "left_semi").collect()}
+        sent = spark.sparkContext.broadcast(([(r[0], r[1]) for r in mine.select("mark", "text").collect()], common, phrases))
 
         def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            index = ItemIndex(sent.value)
+            index = ItemIndex(*sent.value)
             for batch in batches:
                 for low in range(0, len(batch), 500):
                     some = batch.iloc[low : low + 500]
@@ -255,13 +295,13 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
                     out = []
                     for doc, t, ks in zip(some["doc_id"], tokens, index.candidates(tokens)):
                         out.extend((doc, index.ids[k], got) for k, got in index.shares(t, ks, share))
-                    yield pd.DataFrame(out, columns=["doc_id", "item_id", "share"])
+                    yield pd.DataFrame(out, columns=["doc_id", "mark", "share"])
 
-        found.append(docs.mapInPandas(run, PAIR))
+        found.append(docs.mapInPandas(run, "doc_id bigint, mark bigint, share double"))
     result = found[0]
     for more in found[1:]:
         result = result.unionByName(more)
-    return result
+    return result.join(each.select("item_id", "mark"), "mark").select("doc_id", "item_id", "share")
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:

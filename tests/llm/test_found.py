@@ -311,6 +311,17 @@ def test_leaks_planted(spark):
     assert leaks.leaks(df.limit(0), q).collect() == [] and leaks.leaks(df, q.limit(0)).collect() == []
 
 
+def test_leaks_of_items_held_several_times(spark):
+    """An item under several ids, in other markup or with a slip is reported for each, and blocks change nothing."""
+    its = items()
+    again = [(100 + k, its[0][1]) for k in range(5)] + [(110, f"<p>{its[0][1]}</p>")] + [(120 + k, its[1][1].replace("trails", "traiks", k)) for k in range(5)]
+    docs = spark.createDataFrame([(0, f"the old road {its[0][1]} was wide"), (1, its[1][1]), (2, its[2][1])], "doc_id bigint, text string")
+    q = spark.createDataFrame(its + again, "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): r["share"] for r in leaks.leaks(docs, q).collect()}
+    assert set(got) == {(0, 0), (0, 110), (1, 1), (2, 2)} | {(0, 100 + k) for k in range(5)} | {(1, 120 + k) for k in range(5)}
+    assert {(r["doc_id"], r["item_id"]): r["share"] for r in leaks.leaks(docs, q, block=3).collect()} == got
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 4), min_size=1, max_size=6), st.lists(st.integers(0, 4), max_size=15))
 def test_nearest_is_exact(pattern, text):
