@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import Protocol
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,7 +97,8 @@ class DictionaryLinker:
 
     ``entries`` has ``term, preferred, code, semtypes``. Windows and entries
     meet over their letter triples with a length filter; similarity is exact;
-    overlapping windows are resolved by ``criterion`` ('score' or 'length').
+    overlapping windows are resolved by ``criterion`` ('score' or 'length'), best
+    first: a window stands unless it overlaps one that stands.
     """
 
     def __init__(self, entries: DataFrame, threshold: float = 0.7, window: int = 5, criterion: str = "score", semtypes: Sequence[str] | None = None) -> None:
@@ -109,6 +111,27 @@ class DictionaryLinker:
         part = lambda k: F.slice(letters, F.lit(k), n)
         return F.array_distinct(F.zip_with(F.zip_with(part(1), part(2), lambda x, y: F.concat(x, y)), part(3), lambda x, y: F.concat(x, y)))
 
+    @staticmethod
+    def _standing(spans: DataFrame) -> DataFrame:
+        """``id, start, n``: of the spans of every query (by ``x``, ``y``, then the first) those that overlap no better one that stands."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            now, taken = object(), set()
+            for batch in batches:
+                free = []
+                for query, start, n in zip(batch["id"], batch["start"], batch["n"]):
+                    if query != now:
+                        now, taken = query, set()
+                    words = range(start, start + n)
+                    free.append(taken.isdisjoint(words))
+                    if free[-1]:
+                        taken.update(words)
+                yield batch[free]
+
+        # the spans of a query come one after the other; no more than its taken words are kept
+        placed = spans.repartition("id").sortWithinPartitions("id", F.desc("x"), F.desc("y"), "start", "n").select("id", "start", "n")
+        return placed.mapInPandas(run, placed.schema)
+
     def link(self, queries: DataFrame) -> DataFrame:
         q = queries.select("id", text.normalise_query(F.col("text")).alias("t")).where("t <> ''").select("id", F.split("t", " ").alias("w"))
         spans = q.select("id", "w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("start"))
@@ -128,13 +151,10 @@ class DictionaryLinker:
         scored = both.select("g", "e", (shared / (F.size("x") + F.size("y") - shared)).alias("score")).where(F.col("score") >= self.threshold)
         hits = scored.join(e.select("e", "term", "preferred", "code", "semtypes"), "e")
         found = spans.withColumn("g", F.lower("matched")).join(hits, "g")
-        # a span stands if no better span overlaps it: compare with the best of the words it covers
         size = F.length("matched").cast("double")
-        value = F.struct(*([F.col("score"), size] if self.criterion == "score" else [size, F.col("score")]), (-F.col("start")).alias("first"))
-        best = found.groupBy("id", "start", "n", "matched").agg(F.max(value).alias("value"))
-        words = best.select("id", "start", "n", "value", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("word"))
-        own = words.join(words.groupBy("id", "word").agg(F.max("value").alias("most")), ["id", "word"])
-        stands = own.groupBy("id", "start", "n").agg(F.min(F.col("value") == F.col("most")).alias("ok")).where("ok").drop("ok")
+        value = F.struct(*([F.col("score").alias("x"), size.alias("y")] if self.criterion == "score" else [size.alias("x"), F.col("score").alias("y")]))
+        best = found.where("id is not null").groupBy("id", "start", "n").agg(F.max(value).alias("v")).select("id", "start", "n", "v.x", "v.y")
+        stands = self._standing(best)
         kept = found.join(stands, ["id", "start", "n"])
         kept = kept.withColumn("name", F.coalesce(F.nullif("preferred", F.lit("")), "term"))
         exact = F.when(F.lower("name") == F.lower("matched"), 1.0).otherwise(F.col("score"))
