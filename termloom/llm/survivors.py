@@ -148,10 +148,11 @@ def _by_table(patterns: DataFrame, rounds: int) -> tuple[DataFrame, DataFrame]:
 
 
 def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ui, term, src``: who claims what; missing and blank sources are together a source of their own (the empty text)."""
     rows = runtime.table(spark, sf_dir, "ingredients")
     listed = source_ranks(runtime.table(spark, sf_dir, "source_rank")).select("key", "src_key")
-    each = rows.select("ui", F.explode("synonyms").alias("s")).select("ui", F.col("s.term").alias("term"), source_key(F.col("s.src")).alias("key"))
-    each = each.where(~runtime.blank(F.col("term")) & F.col("key").isNotNull())
+    each = rows.select("ui", F.explode("synonyms").alias("s")).select("ui", F.col("s.term").alias("term"), F.coalesce(source_key(F.col("s.src")), F.lit("")).alias("key"))
+    each = each.where(~runtime.blank(F.col("term")))
     each = each.join(F.broadcast(listed), "key", "left")
     return each.select("ui", _trimmed(F.col("term")).alias("term"), F.coalesce("src_key", "key").alias("src"))
 

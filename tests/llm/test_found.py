@@ -191,6 +191,15 @@ def test_survivor_edges(spark):
     assert survivors.survivors(df, ranks.limit(0)).count() == 3
 
 
+def test_terms_of_missing_sources_get_a_probability(spark, tmp_path):
+    rows = [("u", [("a", "b", True), ("c", None, False)]), ("v", [("d", " ", True)]), ("w", [(" ", None, True), None])]
+    spark.createDataFrame(rows, "ui string, synonyms array<struct<term:string,src:string,is_preferred:boolean>>").write.parquet(f"{tmp_path}/ingredients.parquet")
+    spark.createDataFrame([("b", "Second", 2)], "src string, src_name string, src_rank int").write.parquet(f"{tmp_path}/source_rank.parquet")
+    got = survivors.p5_truths(spark, str(tmp_path)).collect()
+    assert sorted((r["ui"], r["term"]) for r in got) == [("u", "a"), ("u", "c"), ("v", "d")]
+    assert all(r["probability"] is not None for r in got)
+
+
 # 6
 
 
