@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from termloom import runtime
 from termloom.model import KB
 
-#: Components of up to this many links replay the source pipeline's merge order; larger ones take the closed form.
-REPLAY_LINKS = 10_000
+#: Components of up to this many links that merge replay the source pipeline's merge order; larger ones take the closed form.
+REPLAY_LINKS = 250_000
+#: Links that one task looks through for those that merge; several times REPLAY_LINKS, so that each round leaves far fewer.
+FOREST_LINKS = 1_000_000
 
 
 def typed_terms(kb: KB, ignore_types: Sequence[str] = ()) -> DataFrame:
@@ -83,54 +85,89 @@ def components(edges: DataFrame) -> DataFrame:
     return named.unionByName(alone.select("v", F.col("v").alias("root")))
 
 
+def _find(parent: dict[int, int], x: int) -> int:
+    while parent[x] != x:
+        parent[x] = parent[parent[x]]
+        x = parent[x]
+    return x
+
+
+def _forest(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The links that join two groups when replayed in order; the others close a cycle and change nothing in any larger replay."""
+    pdf = pdf.sort_values(["i", "j"])
+    parent = {x: x for x in {*pdf["i"].tolist(), *pdf["j"].tolist()}}
+    joins = []
+    for i, j in zip(pdf["i"].tolist(), pdf["j"].tolist()):
+        a, b = _find(parent, i), _find(parent, j)
+        joins.append(a != b)
+        parent[b] = a
+    return pdf.loc[joins, ["part", "i", "j"]]
+
+
 def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
-    parent: dict[int, int] = {}
-    names: dict[int, set] = {}
-    for r in pdf.itertuples(index=False):
-        for x, atoms in ((r.i, r.atoms_i), (r.j, r.atoms_j)):
-            if x not in parent:
-                parent[x], names[x] = x, set(atoms)
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for r in pdf.sort_values(["i", "j"]).itertuples(index=False):
-        a, b = find(r.i), find(r.j)
+    """Roots of a component's concepts (rows with ``i = j`` and their ``atoms``), its links replayed in order."""
+    own = pdf["i"] == pdf["j"]
+    names = {x: set(a.tolist()) for x, a in zip(pdf.loc[own, "i"].tolist(), pdf.loc[own, "atoms"])}
+    parent = {x: x for x in names}
+    links = pdf.loc[~own, ["i", "j"]].sort_values(["i", "j"])
+    for i, j in zip(links["i"].tolist(), links["j"].tolist()):
+        a, b = _find(parent, i), _find(parent, j)
         if a != b:
             if len(names[b]) > len(names[a]):
                 a, b = b, a
             parent[b] = a
             names[a] |= names.pop(b)
-    return pd.DataFrame({"cidx": list(parent), "root": [find(x) for x in parent]})
+    return pd.DataFrame({"cidx": list(parent), "root": [_find(parent, x) for x in parent]})
+
+
+def _sizes(links: DataFrame) -> DataFrame:
+    return links.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _merging(links: DataFrame, limit: int) -> DataFrame:
+    """``part, i, j`` with the components of more than ``limit`` links cut down to the links that merge.
+
+    A link that closes a cycle of earlier ones among any of the links never
+    merges, so pieces of a component are cut down apart, round after round.
+    """
+    while True:
+        sizes = runtime.durable(_sizes(links).where(F.col("n") > limit))
+        before = sizes.agg(F.sum("n")).first()[0]
+        if not before:
+            return links
+        big = links.join(F.broadcast(sizes), "part")  # fewer than links / limit components
+        piece = F.pmod(F.xxhash64("i", "j"), F.ceil(F.col("n") / FOREST_LINKS))
+        kept = runtime.durable(big.withColumn("piece", piece).groupBy("part", "piece").applyInPandas(_forest, "part bigint, i bigint, j bigint"))
+        links = runtime.durable(links.join(F.broadcast(sizes), "part", "left_anti").unionByName(kept))
+        if kept.count() == before:
+            return links
 
 
 def union_roots(kb: KB, connections: DataFrame, replay_links: int = REPLAY_LINKS) -> DataFrame:
     """``cidx, root``: every concept and the one its group merges into.
 
     The links of a component are replayed in order: the concept with fewer
-    distinct atoms merges into the other, ties into the first. A component of
-    more than ``replay_links`` links is not gathered: its root is the concept
-    with most distinct atoms, then the least ``cidx``. Links with an unknown or
-    null end are ignored.
+    distinct atoms merges into the other, ties into the first. Links that close
+    a cycle merge nothing and are left out where there are many. A component of
+    more than ``replay_links`` links that merge is not gathered: its root is the
+    concept with most distinct atoms, then the least ``cidx``. Links with an
+    unknown or null end are ignored.
     """
-    atom = F.concat_ws("\u0001", "term_lc", "src", "src_id", "term_type")
+    atom = F.xxhash64(F.concat_ws("\u0001", "term_lc", "src", "src_id", "term_type"))
     sets = kb.concepts.select("cidx").join(kb.atoms.groupBy("cidx").agg(F.collect_set(atom).alias("atoms")), "cidx", "left")
-    sets = runtime.durable(sets.withColumn("atoms", F.coalesce("atoms", F.array().cast("array<string>"))))
+    sets = runtime.durable(sets.withColumn("atoms", F.coalesce("atoms", F.array().cast("array<bigint>"))))
     links = connections.select("i", "j").where("i <> j").distinct()
     links = links.join(sets.select(F.col("cidx").alias("i")), "i", "left_semi").join(sets.select(F.col("cidx").alias("j")), "j", "left_semi")
     links = runtime.durable(links)
     groups = runtime.durable(components(links))
     tagged = runtime.lookup(links, groups.select(F.col("v").alias("i"), F.col("root").alias("part")), "i", F.col("j"), runtime.hot_keys(links, "i"), "inner")
-    sizes = tagged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    few = tagged.join(sizes.where(F.col("n") <= replay_links).select("part"), "part", "left_semi")
-    few = few.join(sets.select(F.col("cidx").alias("i"), F.col("atoms").alias("atoms_i")), "i").join(sets.select(F.col("cidx").alias("j"), F.col("atoms").alias("atoms_j")), "j")
-    small = few.groupBy("part").applyInPandas(_replay, "cidx bigint, root bigint")
-    large = groups.withColumnRenamed("root", "part").join(sizes.where(F.col("n") > replay_links).select("part"), "part", "left_semi")
-    counted = large.join(sets.select(F.col("cidx").alias("v"), F.size("atoms").alias("size")), "v")
-    best = counted.groupBy("part").agg((-F.max(F.struct("size", (-F.col("v")).alias("neg"))).getField("neg")).alias("root"))
+    tagged = _merging(runtime.durable(tagged.select("part", "i", "j")), replay_links)
+    beyond = _sizes(tagged).where(F.col("n") > replay_links).select("part")
+    members = groups.withColumnRenamed("root", "part").join(sets.withColumnRenamed("cidx", "v"), "v")
+    rows = tagged.withColumn("atoms", F.lit(None).cast("array<bigint>")).unionByName(members.select("part", F.col("v").alias("i"), F.col("v").alias("j"), "atoms"))
+    small = rows.join(beyond, "part", "left_anti").groupBy("part").applyInPandas(_replay, "cidx bigint, root bigint")
+    large = members.join(beyond, "part", "left_semi").select("part", "v", F.size("atoms").alias("size"))
+    best = large.groupBy("part").agg((-F.max(F.struct("size", (-F.col("v")).alias("neg"))).getField("neg")).alias("root"))
     large = large.join(best, "part").select(F.col("v").alias("cidx"), "root")
     merged = small.unionByName(large)
     alone = kb.concepts.select("cidx").join(merged.select("cidx"), "cidx", "left_anti")

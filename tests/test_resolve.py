@@ -98,6 +98,19 @@ def test_union_roots_closed_form(spark):
     assert {r["root"] for r in roots.collect()} == {3}
 
 
+def test_union_roots_do_not_depend_on_links_that_merge_nothing(spark, monkeypatch):
+    """A component over the limit only by links that close cycles is replayed; so is one over the former limit."""
+    monkeypatch.setattr(resolve, "FOREST_LINKS", 60)
+    rng = random.Random(5)
+    concepts = [(k, f"X{k:07d}", "SDSI", [(f"t{rng.randrange(12)}", "S", "1", True) for _ in range(rng.randrange(1, 5))], []) for k in range(16)]
+    edges = [(i, j) for i in range(16) for j in range(i + 1, 16)]
+    want = replay(edges, {c[0]: {a[0] for a in c[3]} for c in concepts})
+    kb = kb_of(spark, concepts)
+    roots = resolve.union_roots(kb, spark.createDataFrame(edges, "i bigint, j bigint"), replay_links=15)
+    assert {r["cidx"]: r["root"] for r in roots.collect()} == want
+    assert resolve.REPLAY_LINKS > 10_000
+
+
 def test_empty_connections_link_nothing(spark):
     kb = kb_of(spark, [(0, "X0000000", "SDSI", [("a", "S", "1", True)], []), (1, "X0000001", "SDSI", [("a", "S", "1", True)], [])])
     assert pipelines.resolve_kb(kb, spark.createDataFrame([], "i bigint, j bigint")).concepts.count() == 2
