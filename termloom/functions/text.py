@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +16,24 @@ STOP_WORDS = (
     "some such than that the their them then there these they this those through to too under until up very was we were what "
     "when where which while who whom why will with you your"
 ).split()
+# Units of doses in label names, the gap that ends a label name, and what is cut from it, in this order
+# (lists stand for their names; a replacement names groups by their numbers).
+LABEL_UNITS = ["g", "mg", "mcg", "iu", "i.u.", "%"]
+LABEL_GAP = r"[ \t]{2,}"
+LABEL_CUTS = [
+    (r"(?i)\b[0-9,.]+ ?(<<units>>)(?:\s|$)", ""),
+    (r"\b[0-9]+:[0-9]+\b", ""),
+    (r"(?i)\((r|tm|c)\)", ""),
+    (r"(\s|^)'(.*?)'(\s|$)", "$1$2$3"),
+    (r"[\{\}]", ""),
+    (r"(?i)\b(<<words>>)\b", ""),
+    (r"(?i)[\(\[\{](<<bracketed>>)[\)\]\}]", ""),
+    (r":", ""),
+    (r"\([0-9]+\)", ""),
+    (r"[\(\[][\s,\.]*[\)\]]", ""),
+]
+# A parenthesis in an interaction text.
+INTERACTION_PARENTHESIS = r" ?\([^)]+\)"
 # Texts that stand for no content.
 PLACEHOLDERS = ["", "general", "none reports.", "none known.", "case reports", "none reported."]
 
@@ -32,8 +51,10 @@ def strip(c: Column) -> Column:
 def invalid_name(c: Column) -> Column:
     """Null, blank, under two characters, number-like (two digits or more), or ASCII punctuation alone."""
     t = strip(F.coalesce(c, F.lit("")))
-    number = t.rlike(r"^[.,]*[0-9]+[.,]*[0-9]+$")
-    return (F.length(t) < 2) | number | t.rlike(r"^[!-/:-@\[-`{-~]+$")
+    # what is left of a number behind its leading marks: one run of digits, or two with marks between
+    digits = F.ltrim(t, F.lit(".,"))
+    number = digits.rlike(r"^\d\d+$") | digits.rlike(r"^\d+[.,]+\d+$")
+    return (F.length(t) < 2) | number | t.rlike(r"^\p{Punct}+$")
 
 
 def valid_content(c: Column) -> Column:
@@ -48,33 +69,21 @@ def normalise_query(c: Column, ascii_only: bool = True) -> Column:
     return squeeze(F.regexp_replace(c, r"\([^)]*\)", ""))
 
 
-def label_steps(filter_words: Sequence[str] = ()) -> list[Callable[[Column], Column]]:
-    """The ordered cleaning steps of label names; each is followed by ``squeeze``."""
-    words = "|".join(STOP_WORDS)
-    bracketed = "|".join([*STOP_WORDS, *[w.strip().lower() for w in filter_words]])
-
-    def cut(pattern: str, by: str = "") -> Callable[[Column], Column]:
-        return lambda c: F.regexp_replace(c, pattern, by)
-
-    return [
-        lambda c: F.split(c, r"[ \t]{2,}", 2)[0],
-        cut(r"(?i)\b[0-9,.]+ ?(?:mg|mcg|iu|i\.u\.|g|%)(?:\s|$)"),
-        cut(r"\b[0-9]+:[0-9]+\b"),
-        cut(r"(?i)\((?:r|tm|c)\)"),
-        cut(r"(\s|^)'(.*?)'(\s|$)", "$1$2$3"),
-        cut(r"[{}]"),
-        cut(rf"(?i)\b(?:{words})\b"),
-        cut(rf"(?i)[(\[{{](?:{bracketed})[)\]}}]"),
-        cut(r":"),
-        cut(r"\([0-9]+\)"),
-        cut(r"[(\[][\s,.]*[)\]]"),
-    ]
+def label_cuts(filter_words: Sequence[str] = ()) -> list[tuple[str, str]]:
+    """``pattern, replacement`` of the cuts of label names, in their order; the words of a list stand for its name in angle marks."""
+    lists = {
+        "units": [re.escape(u) for u in LABEL_UNITS],
+        "words": STOP_WORDS,
+        "bracketed": [*STOP_WORDS, *[re.escape(w.strip().lower()) for w in filter_words if w.strip()]],
+    }
+    return [(re.sub(r"<<(\w+)>>", lambda m: "|".join(lists[m[1]]), pattern), by) for pattern, by in LABEL_CUTS]
 
 
 def clean_label_name(c: Column, filter_words: Sequence[str] = ()) -> Column:
-    """A label name after every step of ``label_steps``."""
-    for step in label_steps(filter_words):
-        c = squeeze(step(c))
+    """A label name up to its first wide gap and after every cut; white space is squeezed after each."""
+    c = squeeze(F.split(c, LABEL_GAP)[0])
+    for pattern, by in label_cuts(filter_words):
+        c = squeeze(F.regexp_replace(c, pattern, by))
     return c
 
 
@@ -104,7 +113,7 @@ def split_content(c: Column) -> Column:
 def clean_interaction(c: Column) -> Column:
     """The text before a colon, without parentheses and without other than ASCII characters."""
     c = F.split(c, ":", 2)[0]
-    return strip(F.regexp_replace(F.regexp_replace(c, r" ?\([^)]+\)", ""), r"[^\x00-\x7F]+", ""))
+    return strip(F.regexp_replace(F.regexp_replace(c, INTERACTION_PARENTHESIS, ""), r"[^\x00-\x7F]+", ""))
 
 
 def source_id(c: Column) -> Column:

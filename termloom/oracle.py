@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 _KB = """
 concepts AS (SELECT cidx, ui, concept_type, regexp_extract(ui, '^(.+)[0-9]{7}$', 1) AS prefix, try_cast(regexp_extract(ui, '([0-9]{7})$', 1) AS BIGINT) AS num FROM ingredients),
 atoms_ AS (SELECT cidx, unnest(synonyms) AS s, (generate_subscripts(synonyms, 1) - 1)::INT AS pos FROM ingredients),
@@ -46,7 +48,8 @@ _STRIP = r"regexp_replace({}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
 
 def _invalid(c: str) -> str:
     t = _STRIP.format(f"coalesce({c}, '')")
-    return f"(length({t}) < 2 OR regexp_matches({t}, '^[.,]*[0-9]+[.,]*[0-9]+$') OR regexp_matches({t}, '^[!-/:-@\\[-`{{-~]+$'))"
+    digits = f"ltrim({t}, '.,')"
+    return f"(length({t}) < 2 OR regexp_matches({digits}, '^([0-9]{{2,}}|[0-9]+[.,]+[0-9]+)$') OR regexp_matches({t}, '^[[:punct:]]+$'))"
 
 
 _NHP = f"""nrows AS (SELECT *, {_SQUEEZE.format('proper_name')} AS name FROM (
@@ -66,16 +69,12 @@ nedges AS (SELECT DISTINCT replace(ingredient_id, '.0', '') AS ingredient_id, re
 
 
 def _clean(c: str) -> str:
-    """The ordered cleaning steps of label names, nested."""
-    from termloom.functions.text import STOP_WORDS
+    """The cuts of label names, nested."""
+    from termloom.functions import text
 
-    words = "|".join(STOP_WORDS)
-    steps = [
-        (r"(?i)\b[0-9,.]+ ?(?:mg|mcg|iu|i\.u\.|g|%)(?:\s|$)", ""), (r"\b[0-9]+:[0-9]+\b", ""), (r"(?i)\((?:r|tm|c)\)", ""), (r"(\s|^)''(.*?)''(\s|$)", r"\1\2\3"), (r"[{}]", ""),
-        (rf"(?i)\b(?:{words})\b", ""), (rf"(?i)[(\[{{](?:{words})[)\]}}]", ""), (":", ""), (r"\([0-9]+\)", ""), (r"[(\[][\s,.]*[)\]]", ""),
-    ]
-    c = _SQUEEZE.format(f"regexp_extract({c}, '^((?s:.*?))(?:[ \\t]{{2,}}(?s:.*))?$', 1)")
-    for pattern, by in steps:
+    c = _SQUEEZE.format(f"string_split_regex({c}, '{text.LABEL_GAP}')[1]")
+    for pattern, by in text.label_cuts():
+        pattern, by = pattern.replace("'", "''"), re.sub(r"\$(\d)", r"\\\1", by)
         c = _SQUEEZE.format(f"regexp_replace({c}, '{pattern}', '{by}', 'g')")
     return c
 

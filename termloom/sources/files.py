@@ -5,10 +5,8 @@ from __future__ import annotations
 import configparser
 import json
 import re
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termloom import model
@@ -18,21 +16,27 @@ def strings(*names: str) -> str:
     return ", ".join(f"`{n}` string" for n in names)
 
 
-def numbered_lines(spark: SparkSession, *paths: str) -> DataFrame:
-    """``cidx, line``: the lines of the files in argument order, numbered from 0 through all of them.
+def file_lines(spark: SparkSession, *paths: str) -> DataFrame:
+    """``file, path, pos, line``: the lines of files, numbered from 0 within each; ``file`` is the argument's place.
 
     Numbers come from counts per file part (one row each), so no task holds a file.
     """
     parts = None
     for k, path in enumerate(paths):
-        lines = spark.read.text(path).select(F.lit(k).alias("file"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+        lines = spark.read.option("lineSep", "\n").text(path).select(F.lit(k).alias("file"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
         parts = lines if parts is None else parts.unionByName(lines)
-    from pyspark.sql import Window
-
     sizes = parts.groupBy("file", "path", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("low"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("file", "path", "block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file", "path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sizes.withColumn("start", before).drop("n")
-    return parts.join(F.broadcast(starts), ["file", "path", "block"]).select((F.col("start") + F.col("at") - F.col("low")).alias("cidx"), "line")
+    return parts.join(F.broadcast(starts), ["file", "path", "block"]).select("file", "path", (F.col("start") + F.col("at") - F.col("low")).alias("pos"), "line")
+
+
+def numbered_lines(spark: SparkSession, *paths: str) -> DataFrame:
+    """``cidx, line``: the lines of the files in argument order, numbered from 0 through all of them."""
+    lines = file_lines(spark, *paths)
+    sizes = lines.groupBy("file", "path").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("file", "path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return lines.join(F.broadcast(sizes.select("file", "path", before.alias("start"))), ["file", "path"]).select((F.col("start") + F.col("pos")).alias("cidx"), "line")
 
 
 def read_concepts(spark: SparkSession, *paths: str) -> DataFrame:
@@ -107,53 +111,6 @@ def source_ranks(path: str, version: str) -> dict[str, list[str]]:
     return {k: [x.strip() for x in (v or "").splitlines() if x.strip()] for k, v in ini.items(version)}
 
 
-def repair(text: str, columns: int) -> Iterator[str]:
-    """Records of a CSV text whose quoted fields hold line ends and whose lines hold too many commas.
-
-    A state machine over characters: quotes toggle; a line end inside quotes or
-    before the last field is dropped; at the last field it ends the record only
-    at the end of the file or when a digit is near; commas beyond the last
-    field, and what follows them, are dropped up to the record's end.
-    """
-    out: list[str] = []
-    field, quoted, over = 1, False, False
-    last = len(text)
-    for k, c in enumerate(text):
-        if c == "\n":
-            ends = k + 1 >= last or any(x.isdigit() for x in text[k + 1 : k + 7])
-            if not quoted and field == columns and ends:
-                yield "".join(out)
-                out, field, over = [], 1, False
-        elif over:
-            continue
-        elif c == '"':
-            quoted = not quoted
-            out.append(c)
-        elif c == "," and not quoted:
-            if field == columns:
-                over = True
-            else:
-                field += 1
-                out.append(c)
-        else:
-            out.append(c)
-    if out:
-        yield "".join(out)
-
-
-def repair_files(spark: SparkSession, path: str, columns: int) -> DataFrame:
-    """``path, pos, record``: the repaired records of every file (a file is read whole by one task)."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, text in zip(batch["path"], batch["value"]):
-                rows = [(name, k, r) for k, r in enumerate(repair(text, columns))]
-                yield pd.DataFrame(rows, columns=["path", "pos", "record"])
-
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    return whole.mapInPandas(run, "path string, pos bigint, record string")
-
-
 def as_list(c: Column) -> Column:
     """A JSON text that is a string or a list of strings, as an array; others give null."""
     variant = F.try_parse_json(c)

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from termloom import catalog, model
 from termloom.functions import text
 from termloom.operators import export, link, quality, resolve
 from termloom.plans import pipelines
-from termloom.sources import converters, files
+from termloom.sources import converters, files, records
 from termloom.streaming import lint
 
 
@@ -51,19 +52,53 @@ def test_semantic_types_by_code_and_short_form(spark, tmp_path):
     assert {r["code"] for r in files.read_semantic_types(spark, str(tmp_path / "s"), ["Plant"]).collect()} == {"T2"}
 
 
-def test_repair():
+def plain_repair(text, columns):
+    """Brute force: one character after the other."""
+    out, record, fields, quoted = [], "", 1, False
+    for k, c in enumerate(text):
+        if c == "\n":
+            if not quoted and fields >= columns and (k + 1 == len(text) or any(x in "0123456789" for x in text[k + 1 : k + 7])):
+                out.append(record)
+                record, fields = "", 1
+            continue
+        if c == '"':
+            quoted = not quoted
+        if c == "," and not quoted:
+            fields += 1
+        if fields <= columns:
+            record += c
+    return [r for r in [*out, record] if r]
+
+
+def repaired(spark, texts, columns, block=records.BLOCK_LINES):
+    lines = [(str(p), k, x) for p, t in enumerate(texts) for k, x in enumerate(t.removesuffix("\n").split("\n")) if t]
+    rows = records.repair(spark.createDataFrame(lines, "path string, pos bigint, line string"), columns, block).sort("path", "pos").collect()
+    return [[r["record"] for r in rows if r["path"] == str(p)] for p in range(len(texts))]
+
+
+def test_repair_of_broken_records(spark):
     good = '1,"a, b",c'
-    assert list(files.repair(f"{good}\n2,x,y\n", 3)) == [good, "2,x,y"]
-    assert list(files.repair('1,"a\nb",c\n2,x,y\n', 3)) == ['1,"ab",c', "2,x,y"]
-    assert list(files.repair("1,a\n,c\n2,x,y\n", 3)) == ["1,a,c", "2,x,y"]
-    assert list(files.repair("1,a,c,,\n2,x,y\n", 3)) == ["1,a,c", "2,x,y"]
-    assert list(files.repair("1,a,c\nmore text here\n2,x,y\n", 3)) == ["1,a,cmore text here", "2,x,y"]
-    assert list(files.repair("", 3)) == []
+    cases = {
+        f"{good}\n2,x,y\n": [good, "2,x,y"], '1,"a\nb",c\n2,x,y\n': ['1,"ab",c', "2,x,y"], "1,a\n,c\n2,x,y\n": ["1,a,c", "2,x,y"],
+        "1,a,c,,\n2,x,y\n": ["1,a,c", "2,x,y"], "1,a,c\nmore text here\n2,x,y\n": ["1,a,cmore text here", "2,x,y"], "": [],
+        '1,a,b,"x\n2,b,"\n3,c,d': ["1,a,b", "3,c,d"],
+    }
+    assert repaired(spark, list(cases), 3) == list(cases.values()) == [plain_repair(t, 3) for t in cases]
+    assert repaired(spark, [], 3) == []
+
+
+@pytest.mark.parametrize("block", [1, 7, 100_000])
+def test_repair_equals_brute_force_whatever_the_blocks(spark, block):
+    rng = random.Random(block)
+    texts = ["".join(rng.choice('abcdefgh1,,"\n') for _ in range(rng.randrange(1, 120))).strip("\n") for _ in range(60)]
+    texts = [t for t in texts if t]
+    for columns in (1, 3):
+        assert repaired(spark, texts, columns, block) == [plain_repair(t, columns) for t in texts]
 
 
 def test_repair_files(spark, tmp_path):
     (tmp_path / "f.csv").write_text("1,a\n2,b\n")
-    assert [r["record"] for r in files.repair_files(spark, str(tmp_path / "f.csv"), 2).sort("pos").collect()] == ["1,a", "2,b"]
+    assert [r["record"] for r in records.repair_files(spark, str(tmp_path / "f.csv"), 2).sort("pos").collect()] == ["1,a", "2,b"]
 
 
 def test_ini_refers(tmp_path):
