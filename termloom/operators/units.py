@@ -6,6 +6,7 @@ must not cut a word. Context settles what stands alone: a unit in the amount
 itself comes before the unit column, that before the second-language column.
 What is read becomes ``number, multiplier, unit``, and a broadcast table of
 exact conversion factors (fixed, some twenty rows) turns it into common units.
+Numbers are fractions of whole numbers throughout, so only the result is rounded.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from decimal import Decimal, InvalidOperation
+from fractions import Fraction
 
 import ahocorasick
 import pandas as pd
@@ -170,7 +171,7 @@ def read_unit(text: str, a: ahocorasick.Automaton) -> tuple[int, str, int] | Non
     return times, str(unit[3]), divisor
 
 
-def read_number(text: str) -> Decimal | None:
+def read_number(text: str) -> Fraction | None:
     """The one number a text is: a comma before three digits separates thousands, another marks decimals."""
     m = _NUMBER.fullmatch(text)
     if not m:
@@ -178,12 +179,12 @@ def read_number(text: str) -> Decimal | None:
     digits, power = m[1], m[2] or ""
     digits = _COMMA3.sub("", digits).replace(",", ".")
     try:
-        return Decimal(digits + power)
-    except InvalidOperation:
+        return Fraction(digits + power)
+    except ValueError:
         return None
 
 
-def read_amount(amount: str | None, unit: str | None, unit_2: str | None, a: ahocorasick.Automaton) -> tuple[Decimal, str, int] | None:
+def read_amount(amount: str | None, unit: str | None, unit_2: str | None, a: ahocorasick.Automaton) -> tuple[Fraction, str, int] | None:
     """``number in that unit, unit, divisor`` that an amount and its unit columns state, or None.
 
     A common fraction ("1/2", "1 1/2") is one number.  None when there is not
@@ -196,7 +197,7 @@ def read_amount(amount: str | None, unit: str | None, unit_2: str | None, a: aho
     for glyph, plain in _GLYPHS.items():
         text = text.replace(glyph, f" {plain}").strip()
     if m := _FRACTION.match(text):
-        number = int(m[1] or 0) + Decimal(int(m[2])) / int(m[3])
+        number = int(m[1] or 0) + Fraction(int(m[2]), int(m[3]))
     elif m := _NUMBER.match(text):
         number = read_number(m[0])
     else:
@@ -234,6 +235,18 @@ KINDS = {
 }
 
 
+#: Amounts from here on are beyond BIGINT.
+BEYOND = 2**63
+
+
+def in_common_unit(number: Fraction, unit: str, divisor: int, factors: dict[str, tuple[str, int]]) -> tuple[str, int] | None:
+    """``common unit, amount`` rounded half up; mass per mass (``divisor`` is not 0) in parts per million; None beyond BIGINT."""
+    common, factor = factors[unit]
+    exact = number * factor if not divisor else number * factor * 1_000_000 / divisor
+    amount = (2 * exact.numerator + exact.denominator) // (2 * exact.denominator)
+    return ("ppm" if divisor else common, amount) if amount < BEYOND else None
+
+
 def common_units(df: DataFrame, row: str, kinds: dict[str, tuple[str, str, str]] = KINDS) -> DataFrame:
     """``<row>, quantity_kind, common_unit, amount``: every amount that states one number with a known unit.
 
@@ -248,12 +261,13 @@ def common_units(df: DataFrame, row: str, kinds: dict[str, tuple[str, str, str]]
     columns = [c for three in kinds.values() for c in three]
     names = list(kinds)
     key_type = dict(df.dtypes)[row]
+    sent = df.sparkSession.sparkContext.broadcast({unit: (common, factor) for unit, common, factor in FACTORS})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a = automaton()
+        a, factors = automaton(), sent.value
         seen: dict = {}
         for batch in batches:
-            rows, kind, number, unit, divisor = [], [], [], [], []
+            rows, kind, unit, amount = [], [], [], []
             ids = batch["__row"].tolist()
             for k, name in enumerate(names):
                 parts = [batch[f"__c{3 * k + x}"] for x in range(3)]
@@ -264,30 +278,17 @@ def common_units(df: DataFrame, row: str, kinds: dict[str, tuple[str, str, str]]
                     except KeyError:
                         if len(seen) > 200_000:
                             seen.clear()
-                        got = read_amount(x, y, z, a)
-                        if got is not None:
-                            got = (format(got[0], "f"), got[1], got[2])
-                        seen[x, y, z] = got
+                        stated = read_amount(x, y, z, a)
+                        got = seen[x, y, z] = None if stated is None else in_common_unit(*stated, factors)
                     if got is not None:
                         rows.append(i)
                         kind.append(name)
-                        number.append(got[0])
-                        unit.append(got[1])
-                        divisor.append(got[2])
-            yield runtime.frame({"__row": rows, "quantity_kind": kind, "number": number, "unit": unit, "divisor": divisor})
+                        unit.append(got[0])
+                        amount.append(got[1])
+            yield runtime.frame({"__row": rows, "quantity_kind": kind, "common_unit": unit, "amount": amount})
 
     picked = df.select(F.col(row).alias("__row"), *[F.col(c).cast("string").alias(f"__c{i}") for i, c in enumerate(columns)])
-    read = picked.mapInPandas(run, f"__row {key_type}, quantity_kind string, number string, unit string, divisor bigint")
-    factors = df.sparkSession.createDataFrame(FACTORS, "unit string, common_unit string, factor bigint")
-    read = read.join(F.broadcast(factors), "unit")
-    exact = F.expr("try_cast(number AS decimal(24,10))")
-    plain = F.round(exact * F.col("factor").cast("decimal(13,0)"), 0)
-    # mass per mass: factor / divisor is a power of ten or avoirdupois; parts per million
-    ratio = F.round(exact * (F.col("factor").cast("decimal(20,0)") * 1_000_000 / F.col("divisor")).cast("decimal(20,6)"), 0)
-    amount = F.when(F.col("divisor") == 0, plain).otherwise(ratio)
-    read = read.withColumn("amount", amount).withColumn("common_unit", F.when(F.col("divisor") == 0, F.col("common_unit")).otherwise(F.lit("ppm")))
-    fits = read.where("amount is not null and amount < 9223372036854775807")
-    return fits.select(F.col("__row").alias(row), "quantity_kind", "common_unit", F.col("amount").cast("bigint").alias("amount"))
+    return picked.mapInPandas(run, f"__row {key_type}, quantity_kind string, common_unit string, amount bigint").withColumnRenamed("__row", row)
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 
@@ -33,7 +33,7 @@ NONE = [("up to 100", "mg", "mg"), ("< 5", "mg", ""), ("10 - 20", "mg", ""), ("5
 @pytest.mark.parametrize("said, want", CASES)
 def test_amounts(said, want):
     number, unit, divisor = units.read_amount(*said, A)
-    assert (number, unit, divisor) == (Decimal(want[0]), want[1], 0)
+    assert (number, unit, divisor) == (Fraction(want[0]), want[1], 0)
 
 
 @pytest.mark.parametrize("said", NONE)
@@ -73,3 +73,9 @@ def test_empty_and_clashing_columns(spark):
 
 def test_batches_without_any_amount(spark):
     assert units.common_units(rows(spark, [(1, "q.s.", "mg", None), (2, None, None, None)]), "row_id", KIND).collect() == []
+
+
+def test_amounts_are_exact_at_any_size(spark):
+    said = [("100 trillion cfu", 10**14), ("1/3 kg", 333333333333), ("0.00000000123 kg", 1230), ("9223372036854775807 iu", 2**63 - 1), ("9223372036854775808 iu", None), ("2/3 oz", 18899682083), ("1/16 oz", 1771845195), ("0.12345678901234567890123456789 kg", 123456789012), ("1 trillion mg", 10**18)]
+    got = {r["row_id"]: r["amount"] for r in units.common_units(rows(spark, [(k, t, None, None) for k, (t, _) in enumerate(said)]), "row_id", KIND).collect()}
+    assert got == {k: n for k, (_, n) in enumerate(said) if n is not None}
