@@ -8,6 +8,10 @@ positional filters prune; Jaccard is verified exactly; the best entry is kept.
 Each distinct normalised value is looked up once. A list of bounded size (its
 count is checked) is indexed once and sent to the tasks, which probe it prefix
 by prefix; a longer list is joined by shuffle with the same filters.
+
+What typists write around a term ("possible ...", "... x2 days") is learned from
+the values: words foreign to the list that often leave an entry, letter for
+letter, when they are taken off an end.
 """
 
 from __future__ import annotations
@@ -25,19 +29,61 @@ from termloom import runtime
 THRESHOLD = 0.33
 #: A candidate is a match at this Jaccard similarity, or at this sum of Jaccard and edit similarity.
 SURE, SURE_SUM = 0.43, 1.06
-#: Remarks that typists put around a term, removed before comparison.
-REMARKS_BEFORE = r"^(?:[-*#]+ ?|(?:possible|probable|suspected|some|mild|severe|pt reports|patient reports|reports) )+"
-REMARKS_AFTER = r"(?: ?(?:/ ?\d{4}|x ?\d+ days?|- ?reporteds?|\((?:mild|severe|possible)\)|\[unverified\]|nos|\*))+$"
+#: Words of a remark at an end of a value, at most, and the share of its distinct values that it must leave as an entry.
+REMARK_WORDS, REMARK_SHARE = 3, 0.1
 #: A list of up to this many entries is broadcast; a longer one is joined by shuffle.
 BROADCAST_ENTRIES = 50_000
 CANDIDATE = "form string, entry_id bigint, jaccard double"
 
 
 def normalise(c: Column) -> Column:
-    """Lower case without remarks; figures that stand for letters restored; words joined without separators."""
-    plain = runtime.squash(F.regexp_replace(F.lower(c), "_", " "))
-    plain = F.regexp_replace(F.regexp_replace(plain, REMARKS_BEFORE, ""), REMARKS_AFTER, "")
-    return F.translate(F.regexp_replace(plain, r"[^\p{L}\p{M}\p{N}]+", ""), "01", "ol")
+    """The words of a text (letters, marks and digits) in lower case, one space between them."""
+    return F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{M}\p{N}]+", " "))
+
+
+def _ends(said: DataFrame) -> DataFrame:
+    """``said, back, size, remark, rest``: the values with up to REMARK_WORDS words taken off the front or the back; figures are alike."""
+    words = F.split("said", " ")
+    cuts = F.array(*[F.struct(F.lit(b).alias("back"), F.lit(k).alias("size")) for b in (False, True) for k in range(1, REMARK_WORDS + 1)])
+    each = said.select("said", words.alias("w"), F.explode(cuts).alias("c")).select("said", "w", "c.*").where(F.size("w") > F.col("size"))
+    left = F.size("w") - F.col("size")
+    off = F.when(F.col("back"), F.slice("w", left + 1, F.col("size"))).otherwise(F.slice("w", F.lit(1), F.col("size")))
+    rest = F.when(F.col("back"), F.slice("w", F.lit(1), left)).otherwise(F.slice("w", F.col("size") + 1, left))
+    return each.select("said", "back", "size", F.regexp_replace(F.array_join(off, " "), r"\p{N}", "0").alias("remark"), F.array_join(rest, " ").alias("rest"))
+
+
+def remarks(said: DataFrame, listed: DataFrame) -> DataFrame:
+    """``back, remark``: what typists write before or behind a term.
+
+    A remark holds no word of the list (``said``: normalised entries) and, taken
+    off the values (``said``: distinct, normalised), leaves an entry in at least
+    REMARK_SHARE of them.
+    """
+    known = listed.select(F.explode(F.split("said", " ")).alias("word")).distinct()
+    ends = _ends(said).join(listed.select(F.col("said").alias("rest"), F.lit(1).alias("hit")).distinct(), "rest", "left")
+    often = ends.groupBy("back", "remark").agg(F.count("hit").alias("hits"), F.count(F.lit(1)).alias("n"))
+    often = runtime.durable(often.where((F.col("hits") > 0) & (F.col("hits") >= F.col("n") * REMARK_SHARE)).select("back", "remark"))
+    of_list = often.select("back", "remark", F.explode(F.split("remark", " ")).alias("word")).join(known, "word", "left_semi")
+    return often.join(of_list.select("back", "remark").distinct(), ["back", "remark"], "left_anti")
+
+
+def without_remarks(said: DataFrame, listed: DataFrame) -> DataFrame:
+    """``said, core``: distinct normalised values and what is left of them without the remarks at both ends."""
+    known = runtime.durable(remarks(said, listed))
+    done = runtime.durable(said.select("said", F.col("said").alias("core")))
+    if known.isEmpty():
+        return done
+    while True:  # a value loses words in every round, so rounds are as many as its remarks
+        hit = _ends(done.select(F.col("core").alias("said")).distinct()).join(known, ["back", "remark"])
+        cut = hit.groupBy("said").agg(F.max(F.when(~F.col("back"), F.col("size"))).alias("front"), F.max(F.when(F.col("back"), F.col("size"))).alias("behind"))
+        words = F.split("said", " ")
+        front, behind = F.coalesce("front", F.lit(0)), F.coalesce("behind", F.lit(0))
+        # an end at a time where both together would take it all
+        behind = F.when(front + behind < F.size(words), behind).otherwise(F.lit(0))
+        cut = runtime.durable(cut.select(F.col("said").alias("core"), F.array_join(F.slice(words, front + 1, F.size(words) - front - behind), " ").alias("next")))
+        if cut.isEmpty():
+            return done
+        done = runtime.durable(done.join(cut, "core", "left").select("said", F.coalesce("next", "core").alias("core")))
 
 
 def pairs_of_letters(c: Column) -> Column:
@@ -153,21 +199,24 @@ def _join(forms: DataFrame, listed: DataFrame, threshold: float) -> DataFrame:
 
 
 def closest(values: DataFrame, value: str, entries: DataFrame, entry_id: str, entry: str, threshold: float = THRESHOLD, most: int = BROADCAST_ENTRIES) -> DataFrame:
-    """``form, entry_id, jaccard, score``: for every distinct normalised value its best entry, if any is a match.
+    """``said, entry_id, jaccard, score``: for every distinct normalised value its best entry, if any is a match.
 
     Candidates reach ``threshold`` in Jaccard similarity; a match reaches SURE,
     or SURE_SUM with its edit similarity. Best means the greatest sum of Jaccard
-    and edit similarity, ties to the smaller id. ``form`` is the normalised
-    value (see ``normalise``). A list of more than ``most`` entries is joined
-    by shuffle.
+    and edit similarity, ties to the smaller id. ``said`` is the normalised
+    value (see ``normalise``); it is compared without the remarks around it. A
+    list of more than ``most`` entries is joined by shuffle.
 
     Edge cases: null, blank and all-punctuation values match nothing; repeated
     values are looked up once; an empty side gives no rows; equal entries
     compete by id; extra columns are ignored.
     """
-    listed = entries.select(F.col(entry_id).cast("bigint").alias("entry_id"), normalise(F.col(entry)).alias("entry_form")).where("entry_id is not null and entry_form <> ''")
-    listed = runtime.durable(listed.withColumn("grams", pairs_of_letters(F.col("entry_form"))))
-    forms = values.select(normalise(F.col(value)).alias("form")).where("form <> ''").distinct()
+    joined = lambda c: F.replace(c, F.lit(" "), F.lit(""))
+    listed = entries.select(F.col(entry_id).cast("bigint").alias("entry_id"), normalise(F.col(entry)).alias("said")).where("entry_id is not null and said <> ''")
+    listed = runtime.durable(listed.withColumn("entry_form", joined(F.col("said"))).withColumn("grams", pairs_of_letters(F.col("entry_form"))))
+    said = runtime.durable(values.select(normalise(F.col(value)).alias("said")).where("said <> ''").distinct())
+    cores = without_remarks(said, listed).select("said", joined(F.col("core")).alias("form"))
+    forms = cores.select("form").distinct()
     if listed.count() <= most:
         # a number of its own: by bytes alone all forms would fall to one task
         forms = forms.repartition(max(8, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))))
@@ -179,7 +228,8 @@ def closest(values: DataFrame, value: str, entries: DataFrame, entry_id: str, en
     scored = named.withColumn("score", F.col("jaccard") + 1 - F.levenshtein("form", "entry_form") / longest)
     scored = scored.where((F.col("jaccard") >= SURE) | (F.col("score") >= SURE_SUM))
     best = F.max(F.struct("score", (-F.col("entry_id")).alias("neg"), "jaccard")).alias("best")
-    return scored.groupBy("form").agg(best).select("form", (-F.col("best.neg")).alias("entry_id"), F.col("best.jaccard").alias("jaccard"), F.col("best.score").alias("score"))
+    best = scored.groupBy("form").agg(best).select("form", (-F.col("best.neg")).alias("entry_id"), F.col("best.jaccard").alias("jaccard"), F.col("best.score").alias("score"))
+    return cores.join(best, "form").drop("form")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,6 +237,6 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = rows.select("cidx", F.posexplode("synonyms").alias("syn_pos", "s")).select("cidx", "syn_pos", F.col("s.term").alias("term"))
     terms = terms.where(~runtime.blank(F.col("term")))
     best = runtime.durable(closest(terms, "term", runtime.table(spark, sf_dir, "reference_terms"), "ref_id", "ref_term"))
-    terms = runtime.durable(terms.withColumn("form", normalise(F.col("term"))))
-    found = runtime.lookup(terms, best.select("form", "entry_id"), "form", F.col("cidx"), runtime.hot_keys(terms, "form"))
+    terms = runtime.durable(terms.withColumn("said", normalise(F.col("term"))))
+    found = runtime.lookup(terms, best.select("said", "entry_id"), "said", F.col("cidx"), runtime.hot_keys(terms, "said"))
     return found.select("cidx", "syn_pos", F.coalesce("entry_id", F.lit(-1)).cast("bigint").alias("ref_id"))

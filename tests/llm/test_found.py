@@ -109,9 +109,9 @@ def test_closest_edges_and_both_paths(spark):
     entries = clash(spark.createDataFrame([(1, "burning hipbone flaking"), (2, "patchy thigh dryness"), (3, "acute kyntuvolosis"), (4, "patchy thigh dryness"), (5, None), (6, "")], "ref_id bigint, ref_term string"), "entry_id", "grams")
     said = ["BURNING_hipbone flakng", "burning hipbone flaking", "dryness, patchy thigh x2 days", "possible acute kyntuvolosis", "lost in transit", "", "?!", None, "z", "k" * 100_000, "burning hipbone flaking"]
     values = spark.createDataFrame([(s,) for s in said], "term string")
-    one = {r["form"]: r["entry_id"] for r in canonical_terms.closest(values, "term", entries, "ref_id", "ref_term").collect()}
-    two = {r["form"]: r["entry_id"] for r in canonical_terms.closest(values, "term", entries, "ref_id", "ref_term", most=0).collect()}
-    assert one == two == {"burninghipboneflakng": 1, "burninghipboneflaking": 1, "drynesspatchythigh": 2, "acutekyntuvolosis": 3}
+    one = {r["said"]: r["entry_id"] for r in canonical_terms.closest(values, "term", entries, "ref_id", "ref_term").collect()}
+    two = {r["said"]: r["entry_id"] for r in canonical_terms.closest(values, "term", entries, "ref_id", "ref_term", most=0).collect()}
+    assert one == two == {"burning hipbone flakng": 1, "burning hipbone flaking": 1, "dryness patchy thigh x2 days": 2, "possible acute kyntuvolosis": 3}
     none = spark.createDataFrame([], "ref_id bigint, ref_term string")
     assert canonical_terms.closest(values, "term", none, "ref_id", "ref_term").collect() == []
     assert canonical_terms.closest(values.limit(0), "term", entries, "ref_id", "ref_term").collect() == []
@@ -128,6 +128,20 @@ def test_index_equals_brute_force(listed, said):
     assert set(ids.tolist()) == want
 
 
+def test_remarks_are_learned_from_the_values(spark):
+    """What often leaves an entry when taken off is a remark; a word of the list, or one that never leaves an entry, is none."""
+    entries = spark.createDataFrame([(1, "patchy thigh dryness"), (2, "acute kyntuvolosis"), (3, "kyntuvolosis")], "ref_id bigint, ref_term string")
+    said = ["possible patchy thigh dryness", "possible acute kyntuvolosis x2 days", "Possible (acute kyntuvolosis)", "patchy thigh dryness x14 days", "patchy thigh zzz", "acute kyntuvolosis", "possible", "x2 days"]
+    listed = entries.select(canonical_terms.normalise(F.col("ref_term")).alias("said"))
+    forms = spark.createDataFrame([(s,) for s in said], "term string").select(canonical_terms.normalise(F.col("term")).alias("said")).distinct()
+    got = {(r["back"], r["remark"]) for r in canonical_terms.remarks(forms, listed).collect()}
+    assert (False, "possible") in got and (True, "x0 days") not in got and (True, "x00 days") in got
+    assert all("acute" not in r.split() for _, r in got) and (True, "zzz") not in got
+    cores = {r["said"]: r["core"] for r in canonical_terms.without_remarks(forms, listed).collect()}
+    assert cores["possible acute kyntuvolosis x2 days"] == "acute kyntuvolosis x2 days" and cores["possible"] == "possible"
+    assert cores["patchy thigh dryness x14 days"] == "patchy thigh dryness"
+
+
 # 5
 
 
