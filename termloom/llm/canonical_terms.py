@@ -49,7 +49,7 @@ def _ends(said: DataFrame) -> DataFrame:
     left = F.size("w") - F.col("size")
     off = F.when(F.col("back"), F.slice("w", left + 1, F.col("size"))).otherwise(F.slice("w", F.lit(1), F.col("size")))
     rest = F.when(F.col("back"), F.slice("w", F.lit(1), left)).otherwise(F.slice("w", F.col("size") + 1, left))
-    return each.select("said", "back", "size", F.regexp_replace(F.array_join(off, " "), r"\p{N}", "0").alias("remark"), F.array_join(rest, " ").alias("rest"))
+    return each.select("said", "back", "size", F.regexp_replace(F.array_join(off, " "), r"\p{N}+", "0").alias("remark"), F.array_join(rest, " ").alias("rest"))
 
 
 def remarks(said: DataFrame, listed: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from __future__ import annotations
 import html
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -40,6 +41,9 @@ STOCK_ITEMS = 4
 #: Distinct items of one block of the index.
 BLOCK_ITEMS = 20_000
 
+#: A word that equals none.
+NOWHERE = -1
+
 _TAG = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|<!--.*?-->", re.S)
 _WORD = re.compile(r"[^\W_]+")
 
@@ -192,14 +196,17 @@ class ItemIndex:
             return 0.0
         mine = np.unique(item)
         near = np.isin(doc, mine)
-        reach = np.flatnonzero(np.convolve(near, np.ones(2 * WINDOW + 1), "same") > WINDOW - EDITS)
+        reach = np.flatnonzero(np.convolve(near, np.ones(2 * WINDOW + 1), "same") >= WINDOW - EDITS)
         if not len(reach):
             return 0.0
+        # stretches that are apart stay so: no passage crosses more than EDITS words that nothing equals
+        apart = np.repeat(np.flatnonzero(np.diff(reach) > 1) + 1, EDITS + 1)
+        near_by = np.insert(doc[reach], apart, NOWHERE)
         carried = np.zeros(n, dtype=bool)
         rows = windows(item)
         own = np.flatnonzero([r.tobytes() not in self.stock for r in rows])
-        for low in range(0, len(reach), 4096):  # passages overlap by the reach of a window
-            text = doc[reach[max(0, low - 2 * WINDOW) : low + 4096]]
+        for low in range(0, len(near_by), 4096):  # passages overlap by the reach of a window
+            text = near_by[max(0, low - 2 * WINDOW) : low + 4096]
             for start in own[nearest(rows[own], text, self.cost) <= EDITS]:
                 carried[start : start + WINDOW] = True
         return float(carried.mean())
@@ -223,6 +230,17 @@ class ItemIndex:
                 yield k, got
 
 
+_indexes: dict[str, ItemIndex] = {}
+
+
+def _index(name: str, sent) -> ItemIndex:
+    """The index of a broadcast block, built once in every Python worker and kept for its next tasks."""
+    if name not in _indexes:
+        _indexes.clear()
+        _indexes[name] = ItemIndex(*sent.value)
+    return _indexes[name]
+
+
 def nearest(patterns: np.ndarray, text: np.ndarray, cost: np.ndarray) -> np.ndarray:
     """For every pattern (a row) the least weighted edit distance to any passage of ``text`` (exact)."""
     places = np.arange(len(text) + 1, dtype=np.int16)
@@ -286,8 +304,8 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
         phrases = {r[0] for r in mine.select(F.explode("windows").alias("s")).distinct().join(stock, "s", "left_semi").collect()}
         sent = spark.sparkContext.broadcast(([(r[0], r[1]) for r in mine.select("mark", "text").collect()], common, phrases))
 
-        def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            index = ItemIndex(*sent.value)
+        def run(batches: Iterator[pd.DataFrame], sent=sent, name=uuid.uuid4().hex) -> Iterator[pd.DataFrame]:
+            index = _index(name, sent)
             for batch in batches:
                 for low in range(0, len(batch), 500):
                     some = batch.iloc[low : low + 500]

@@ -135,10 +135,10 @@ def test_remarks_are_learned_from_the_values(spark):
     listed = entries.select(canonical_terms.normalise(F.col("ref_term")).alias("said"))
     forms = spark.createDataFrame([(s,) for s in said], "term string").select(canonical_terms.normalise(F.col("term")).alias("said")).distinct()
     got = {(r["back"], r["remark"]) for r in canonical_terms.remarks(forms, listed).collect()}
-    assert (False, "possible") in got and (True, "x0 days") not in got and (True, "x00 days") in got
+    assert (False, "possible") in got and (True, "x0 days") in got
     assert all("acute" not in r.split() for _, r in got) and (True, "zzz") not in got
     cores = {r["said"]: r["core"] for r in canonical_terms.without_remarks(forms, listed).collect()}
-    assert cores["possible acute kyntuvolosis x2 days"] == "acute kyntuvolosis x2 days" and cores["possible"] == "possible"
+    assert cores["possible acute kyntuvolosis x2 days"] == "acute kyntuvolosis" and cores["possible"] == "possible"
     assert cores["patchy thigh dryness x14 days"] == "patchy thigh dryness"
 
 
@@ -364,6 +364,48 @@ def test_nearest_is_exact(pattern, text):
     assert got == want
 
 
+def brute_share(index, k, doc):
+    """The share of an item that a document carries, from every window against the whole document."""
+    item = index.tokens[k]
+    carried = np.zeros(len(item), dtype=bool)
+    for start, row in enumerate(leaks.windows(item)):
+        if row.tobytes() not in index.stock and leaks.nearest(row[None, :], doc, index.cost)[0] <= leaks.EDITS:
+            carried[start : start + leaks.WINDOW] = True
+    return float(carried.mean())
+
+
+def test_found_items_equal_brute_force():
+    """Documents with loosely worded halves of items: shares are exact, and few pairs of half an item are lost."""
+    its = items()
+    index = leaks.ItemIndex(its)
+    rng = random.Random(11)
+    hit = total = 0
+    for _ in range(150):
+        doc = []
+        for k in rng.sample(range(len(its)), 2):
+            t = index.tokens[k].tolist()
+            for _ in range(rng.randrange(1, 4)):
+                start = rng.randrange(len(t) - 20)
+                passage = t[start : start + rng.randrange(12, 40)]
+                for _ in range(len(passage) // 9):
+                    passage[rng.randrange(len(passage))] = rng.choice([0, 0, t[0]])
+                doc += [0] * rng.randrange(30) + passage
+        doc = np.asarray(doc, dtype=np.int32)
+        got = dict(index.shares(doc, index.candidates([doc])[0], leaks.SHARE))
+        want = {k: brute_share(index, k, doc) for k in range(len(its))}
+        want = {k: s for k, s in want.items() if s >= leaks.SHARE}
+        assert all(got[k] == want[k] for k in got)
+        hit, total = hit + len(got), total + len(want)
+    assert total > 50 and hit / total >= leaks.TARGET_RECALL
+
+
+def test_passages_do_not_cross_a_gap():
+    index = leaks.ItemIndex(items())
+    t = index.tokens[0]
+    doc = np.concatenate([np.concatenate([t[k : k + 3], np.zeros(40, dtype=np.int32)]) for k in range(0, len(t), 3)])
+    assert index.share(0, doc) == brute_share(index, 0, doc) == 0.0
+
+
 def test_candidates_reach_the_target_recall():
     """Windows with one word inserted, dropped or changed meet their item at the target rate, against brute force."""
     its = items()
