@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from termloom import model, runtime
 from termloom.functions import text
 from termloom.operators import export, link, nested, pairs, quality, resolve, units
-from termloom.sources import converters, files
+from termloom.sources import builders, converters, files
 
 # The domain schema (labels with their terminology, properties, edges with theirs).
 SCHEMA = {
@@ -94,6 +94,34 @@ def _label_groups(spark: SparkSession, d: str) -> DataFrame:
     return _nhp(spark, d).groupBy(F.col("ingredient_id").alias("group_id")).agg(F.min("proper_name").alias("group_name"), names.alias("synonyms")).withColumn("category", F.lit("other"))
 
 
+def _label_products(spark: SparkSession, d: str) -> DataFrame:
+    """Registry products in the shape of label products: the ingredients of a product as an array of groups."""
+    parts = F.array_sort(F.collect_set("ingredient_id")).alias("ids")
+    rows = _nhp(spark, d).where("product_id is not null").groupBy("product_id").agg(parts)
+    sold = runtime.table(spark, d, "nhp_products").select(text.source_id(F.col("product_id")).alias("product_id"), F.col("product_name").alias("Product_Name"))
+    kind = F.when(F.col("product_id").endswith("0"), "").otherwise("Dietary supplement")
+    ids = F.transform("ids", lambda x: F.struct(x.alias("Ingredient_Group_GRP_ID")))
+    return sold.join(rows, "product_id").select("Product_Name", F.col("product_id").alias("DSLD_ID"), kind.alias("LanguaL_Product_Type"), ids.alias("ingredients"))
+
+
+def _herb_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Ingredient concepts in the shape of herb page records (``page, line``)."""
+    kb = _kb(spark, d)
+    first = runtime.durable(kb.atoms.groupBy("cidx").agg(F.min_by("term", "pos").alias("t"), F.min("pos").alias("low")))
+    listed = lambda df, at, v: df.groupBy("cidx").agg(F.transform(F.array_sort(F.collect_list(F.struct(at, v))), lambda e: e[v]).alias(v))
+    names = listed(kb.atoms.join(first, "cidx").where("pos > low"), "pos", "term").withColumnRenamed("term", "common_name")
+    told = listed(kb.attributes.where("atr_value is not null"), "pos", "atr_value").withColumnRenamed("atr_value", "clinical_summary")
+    edges = runtime.durable(resolve.resolve_objects(kb).where("object_cidx is not null").join(first.select(F.col("cidx").alias("object_cidx"), "t"), "object_cidx"))
+    of = lambda name: listed(edges.where(F.col("rel_name") == name), "ridx", "t")
+    uses = of("IS_EFFECTIVE_FOR").select("cidx", F.array_join("t", "\n").alias("purported_uses"))
+    harms = of("HAS_ADVERSE_REACTION").withColumnRenamed("t", "adverse_reactions")
+    drugs = of("INTERACTS_WITH").select("cidx", F.transform("t", lambda x: F.concat(x, F.lit(" (class): may interact"))).alias("herb-drug_interactions"))
+    herbs = kb.concepts.where("concept_type = 'SDSI'").select("cidx").join(first.select("cidx", F.col("t").alias("herb_name")), "cidx")
+    for part in (names, told, uses, harms, drugs):
+        herbs = herbs.join(part, "cidx", "left")
+    return herbs.select(F.col("cidx").alias("page"), F.to_json(F.struct(*[f"`{c}`" for c in herbs.columns if c != "cidx"])).alias("line"))
+
+
 def _distinct_names(spark: SparkSession, d: str, column: str) -> DataFrame:
     return _nhp(spark, d).select(F.col(column).alias("name")).where("name is not null").distinct()
 
@@ -229,6 +257,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "registry_products": lambda s, d: converters.registry_products(runtime.table(s, d, "nhp_products")),
     "connect_products": lambda s, d: converters.connect_products(_nhp(s, d), runtime.table(s, d, "nhp_products"))[0],
     "unknown_products": lambda s, d: converters.connect_products(_nhp(s, d), runtime.table(s, d, "nhp_products"))[1],
+    "registry_records": lambda s, d: builders.flat_records(builders.registry_kb(_nhp(s, d), runtime.table(s, d, "nhp_products"))),
+    "label_records": lambda s, d: builders.flat_records(builders.label_kb(_label_groups(s, d), _label_products(s, d))),
+    "herb_records": lambda s, d: builders.flat_records(builders.herb_kb(_herb_lines(s, d))),
     "registry_concepts": lambda s, d: converters.registry_concepts(_nhp(s, d)),
     "page_sections": lambda s, d: converters.page_sections(runtime.table(s, d, "documents").where("source = 'herb_page'"), "doc_id", "text"),
     "section_headers": lambda s, d: converters.header_counts(converters.page_sections(runtime.table(s, d, "documents").where("source = 'herb_page'"), "doc_id", "text")),

@@ -103,11 +103,15 @@ def split_names(c: Column) -> Column:
     return F.split(c, ", |; ")
 
 
+def split_slashes(c: Column) -> Column:
+    """A text's parts between '/' as an array; a text with digits stays whole."""
+    return F.when(c.rlike(r"[0-9]"), F.array(c)).otherwise(F.split(c, "/"))
+
+
 def split_content(c: Column) -> Column:
     """Lines of a section; a line without digits is split at '/' too; empty lines go, repeats too."""
     lines = F.filter(F.split(c, "\n"), lambda x: x != "")
-    parts = F.transform(lines, lambda x: F.when(x.rlike(r"[0-9]"), F.array(x)).otherwise(F.split(x, "/")))
-    return F.array_distinct(F.flatten(parts))
+    return F.array_distinct(F.flatten(F.transform(lines, split_slashes)))
 
 
 def clean_interaction(c: Column) -> Column:

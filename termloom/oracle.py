@@ -139,6 +139,66 @@ owner AS (SELECT cidx, 'D' || cui AS CUI FROM links UNION ALL SELECT * FROM fres
 refs AS (SELECT ref_id, ref_term, CASE WHEN printf('C%07d', ref_id) IN (SELECT cui FROM links) THEN 'D' ELSE '' END || printf('C%07d', ref_id) AS CUI,
   CASE concept_type WHEN 'PD' THEN 'T121' WHEN 'SS' THEN 'T184' ELSE 'T047' END AS TUI FROM reference_terms)"""
 
+_VALID = "lower({0}) NOT IN ('', 'general', 'none reports.', 'none known.', 'case reports', 'none reported.')"
+_SYN = "term || '|' || '{0}' || '|' || coalesce(src_id, '') || '|' || term_type || '|' || is_preferred"
+
+
+def _flat(src: str) -> str:
+    """Records with each list as one text, of ``con, fatoms (cidx, pos, ...), fattrs, frels``."""
+    return f"""SELECT c.ui, c.concept_type, s.synonyms, a.attributes, r.relationships FROM con c
+  LEFT JOIN (SELECT cidx, string_agg({_SYN.format(src)}, '; ' ORDER BY pos) AS synonyms FROM fatoms GROUP BY cidx) s USING (cidx)
+  LEFT JOIN (SELECT cidx, string_agg(atr_name || '|' || atr_value || '|{src}', '; ' ORDER BY pos) AS attributes FROM fattrs GROUP BY cidx) a USING (cidx)
+  LEFT JOIN (SELECT cidx, string_agg(rel_name || '|' || object_ui || '|{src}', '; ' ORDER BY pos) AS relationships FROM frels GROUP BY cidx) r USING (cidx)"""
+
+
+_REGISTRY = f"""made AS (SELECT DISTINCT replace(product_id, '.0', '') AS src_id, {_SQUEEZE.format('product_name')} AS term FROM nhp_products WHERE product_id IS NOT NULL AND {_SQUEEZE.format("coalesce(product_name, '')")} <> ''),
+rnames AS (SELECT row_id, col, coalesce(src_id, '') AS src_id, term, term_type FROM ncells QUALIFY col = 0 OR row_number() OVER (PARTITION BY term, term_type ORDER BY row_id, col) = 1),
+con0 AS (SELECT 'SDSI' AS concept_type, 0 AS part, min(row_id) AS f, src_id FROM rnames GROUP BY src_id UNION ALL SELECT DISTINCT 'DSP', 1, 0, src_id FROM made),
+con AS (SELECT *, row_number() OVER (ORDER BY part, f, src_id) - 1 AS cidx, printf('NHPID%07d', row_number() OVER (ORDER BY part, f, src_id)) AS ui FROM con0),
+fa AS (SELECT cidx, row_id, col, r.src_id, term, term_type, col = 0 AS is_preferred FROM rnames r JOIN con ON con.part = 0 AND con.src_id = r.src_id
+  UNION ALL SELECT cidx, 0, row_number() OVER (ORDER BY term), m.src_id, term, 'SY', true FROM made m JOIN con ON con.part = 1 AND con.src_id = m.src_id),
+fatoms AS (SELECT *, row_number() OVER (PARTITION BY cidx ORDER BY row_id, col) AS pos FROM (SELECT * FROM fa QUALIFY row_number() OVER (PARTITION BY cidx, lower(term), src_id, term_type ORDER BY row_id, col) = 1)),
+fattrs AS (SELECT cidx, 0 AS pos, 'source_material' AS atr_name, CASE WHEN coalesce(source_material, '') <> '' THEN {_STRIP.format('source_material')} ELSE {_STRIP.format('source_material_f')} END AS atr_value
+  FROM con JOIN nkept k ON con.part = 0 AND k.row_id = con.f WHERE coalesce(source_material, '') <> '' OR coalesce(source_material_f, '') <> ''),
+ed AS (SELECT a.cidx AS i, a.ui AS iui, b.cidx AS p, b.ui AS pui, x.f FROM (SELECT coalesce(replace(ingredient_id, '.0', ''), '') AS src_id, replace(product_id, '.0', '') AS product, min(row_id) AS f FROM nkept WHERE product_id IS NOT NULL GROUP BY ALL) x
+  JOIN con a ON a.part = 0 AND a.src_id = x.src_id JOIN con b ON b.part = 1 AND b.src_id = x.product),
+frels AS (SELECT i AS cidx, row_number() OVER (PARTITION BY i ORDER BY f, p) AS pos, 'ingredient_of' AS rel_name, pui AS object_ui FROM ed
+  UNION ALL SELECT p, row_number() OVER (PARTITION BY p ORDER BY i), 'has_ingredient', iui FROM ed)"""
+
+_GROUPS = f"""g AS (SELECT ingredient_id AS group_id, min(proper_name) AS group_name, list(DISTINCT common_name) FILTER (WHERE common_name IS NOT NULL) AS s FROM nhp_medicinal_ingredients GROUP BY ingredient_id),
+one AS (SELECT group_id, group_name, unnest(string_split(replace(array_to_string(list_sort(s), ';'), '"', ''), ';')) AS x FROM g),
+clean AS (SELECT DISTINCT group_id, group_name, {_clean('x')} AS c FROM one WHERE x IS NOT NULL),
+wide AS (SELECT DISTINCT group_id, group_name, unnest(list_concat([{_SQUEEZE.format("regexp_replace(c, '" + chr(92) + "(.*" + chr(92) + ")', '')")}], list_transform(regexp_extract_all(c, '\\(.*?\\)'), lambda x: regexp_replace(x, '[()]', '', 'g')))) AS synonym FROM clean WHERE c <> '' AND group_id IS NOT NULL AND group_name IS NOT NULL)"""
+_LABEL = """sold AS (SELECT DISTINCT replace(n.product_id, '.0', '') AS src_id, n.product_name AS name, CASE WHEN replace(n.product_id, '.0', '') LIKE '%0' THEN '' ELSE 'Dietary supplement' END AS detail, r.ids
+  FROM nhp_products n JOIN (SELECT product_id, list_sort(coalesce(list(DISTINCT ingredient_id) FILTER (WHERE ingredient_id IS NOT NULL), [])) AS ids FROM nhp_medicinal_ingredients WHERE product_id IS NOT NULL GROUP BY product_id) r ON r.product_id = replace(n.product_id, '.0', '') WHERE n.product_name IS NOT NULL),
+con0 AS (SELECT 'SDSI' AS concept_type, 0 AS part, group_id AS src_id, group_name AS name, 'other' AS detail, list_sort(list(synonym)) AS l FROM wide WHERE lower(group_name) NOT IN ('header', 'fat calories', 'polyunsaturated fat') GROUP BY group_id, group_name
+  UNION ALL SELECT 'DSP', 1, src_id, name, detail, ids FROM sold),
+con AS (SELECT *, row_number() OVER (ORDER BY part, src_id, name, detail, l) - 1 AS cidx, printf('DSLD%07d', row_number() OVER (ORDER BY part, src_id, name, detail, l)) AS ui FROM con0),
+fa AS (SELECT cidx, src_id, unnest(n) AS term, generate_subscripts(n, 1) AS k FROM (SELECT cidx, src_id, CASE part WHEN 0 THEN list_concat([name], list_filter(l, lambda x: x <> '')) ELSE [name] END AS n FROM con)),
+fatoms AS (SELECT cidx, src_id, term, k AS pos, 'SY' AS term_type, k = 1 AS is_preferred FROM fa QUALIFY row_number() OVER (PARTITION BY cidx, lower(term) ORDER BY k) = 1),
+fattrs AS (SELECT cidx, 0 AS pos, CASE part WHEN 0 THEN 'ingredient_category' ELSE 'langual_type' END AS atr_name, detail AS atr_value FROM con WHERE detail <> ''),
+frels AS (SELECT w.cidx, min(k) AS pos, 'has_ingredient' AS rel_name, t.ui AS object_ui FROM (SELECT cidx, unnest(l) AS x, generate_subscripts(l, 1) AS k FROM con WHERE part = 1) w JOIN con t ON t.part = 0 AND t.src_id = w.x GROUP BY w.cidx, t.ui)"""
+
+_HERB = f"""ft AS (SELECT cidx, arg_min(term, pos) AS t, min(pos) AS low FROM atoms GROUP BY cidx),
+firstui AS (SELECT ui, min(cidx) AS cidx FROM concepts GROUP BY ui),
+ot AS (SELECT r.cidx, r.ridx, r.rel_name, f.t FROM rels r JOIN firstui u ON u.ui = r.object_ui JOIN ft f ON f.cidx = u.cidx),
+herb AS (SELECT c.cidx AS page, {_SQUEEZE.format('t')} AS t, low FROM concepts c JOIN ft USING (cidx) WHERE concept_type = 'SDSI' AND {_VALID.format(_SQUEEZE.format('t'))}),
+cuts AS (SELECT cidx, 2 AS place, pos AS a, string_split_regex(term, ', |; ') AS l FROM atoms JOIN ft USING (cidx) WHERE pos > low
+  UNION ALL SELECT cidx, place, ridx, CASE WHEN regexp_matches(x, '[0-9]') THEN [x] ELSE string_split(x, '/') END FROM (
+    SELECT cidx, 6 AS place, ridx, unnest(string_split(t, chr(10))) AS x FROM ot WHERE rel_name = 'IS_EFFECTIVE_FOR'
+    UNION ALL SELECT cidx, 7, ridx, t FROM ot WHERE rel_name = 'HAS_ADVERSE_REACTION'
+    UNION ALL SELECT cidx, 8, ridx, {_STRIP.format("regexp_replace(regexp_replace(split_part(t || ' (class): may interact', ':', 1), ' ?" + chr(92) + "([^)]+" + chr(92) + ")', '', 'g'), '[^" + chr(92) + "x00-" + chr(92) + "x7F]+', '', 'g')")} FROM ot WHERE rel_name = 'INTERACTS_WITH')),
+said AS (SELECT cidx AS page, place, a, b, v FROM (SELECT cidx, place, a, generate_subscripts(l, 1) AS b, {_SQUEEZE.format('unnest(l)')} AS v FROM cuts) WHERE {_VALID.format('v')} AND cidx IN (SELECT page FROM herb)
+  QUALIFY row_number() OVER (PARTITION BY cidx, place, v ORDER BY a, b) = 1),
+con0 AS (SELECT page, 0 AS last, place, a, b, v, CASE place WHEN 6 THEN 'DIS' WHEN 7 THEN 'SS' ELSE 'PD' END AS concept_type FROM said WHERE place > 2 UNION ALL SELECT page, 1, 0, 0, 0, t, 'SDSI' FROM herb),
+con AS (SELECT *, row_number() OVER (ORDER BY page, last, place, a, b) - 1 AS cidx, printf('MSKCC%07d', row_number() OVER (ORDER BY page, last, place, a, b)) AS ui FROM con0),
+hc AS (SELECT page, cidx FROM con WHERE last = 1),
+fa AS (SELECT cidx, 0 AS place, 0 AS a, 0 AS b, v AS term, 'SY' AS term_type, last = 1 AS is_preferred FROM con
+  UNION ALL SELECT hc.cidx, 2, a, b, v, 'CN', false FROM said JOIN hc USING (page) WHERE place = 2),
+fatoms AS (SELECT cidx, '0' AS src_id, term, term_type, is_preferred, row_number() OVER (PARTITION BY cidx ORDER BY place, a, b) AS pos FROM (SELECT * FROM fa QUALIFY row_number() OVER (PARTITION BY cidx, lower(term), term_type ORDER BY place, a, b) = 1)),
+fattrs AS (SELECT cidx, 0 AS pos, 'background' AS atr_name, v AS atr_value FROM (SELECT hc.cidx, {_SQUEEZE.format("string_agg(atr_value, ' ' ORDER BY pos)")} AS v FROM attrs JOIN hc ON hc.page = attrs.cidx WHERE atr_value IS NOT NULL AND {_VALID.format(_STRIP.format('atr_value'))} GROUP BY hc.cidx) WHERE {_VALID.format('v')}),
+frels AS (SELECT hc.cidx, row_number() OVER (PARTITION BY hc.cidx ORDER BY place, a, b) AS pos, CASE place WHEN 6 THEN 'is_effective_for' WHEN 7 THEN 'has_adverse_reaction' ELSE 'interacts_with' END AS rel_name, con.ui AS object_ui FROM con JOIN hc USING (page) WHERE last = 0)"""
+
 SQL: dict[str, str] = {
     "kb_concepts": _with("SELECT * FROM concepts", _KB),
     "kb_atoms": _with("SELECT * FROM atoms", _KB),
@@ -248,6 +308,9 @@ SQL: dict[str, str] = {
     "registry_products": _with("SELECT src_id, term FROM nprod", _NHP),
     "connect_products": _with("SELECT * FROM nedges WHERE product_id IN (SELECT src_id FROM nprod)", _NHP),
     "unknown_products": _with("SELECT product_id, count(*) AS n FROM nedges WHERE product_id NOT IN (SELECT src_id FROM nprod) GROUP BY product_id", _NHP),
+    "registry_records": _with(_flat("NHPID"), _NHP, _REGISTRY),
+    "label_records": _with(_flat("DSLD"), _GROUPS, _LABEL),
+    "herb_records": _with(_flat("MSKCC"), _KB, _HERB),
     "registry_concepts": _with(
         "SELECT src_id, n_atoms, n_rows FROM (SELECT src_id, count(DISTINCT (lower(term), term_type)) AS n_atoms FROM natoms GROUP BY src_id) JOIN (SELECT replace(ingredient_id, '.0', '') AS src_id, count(*) AS n_rows FROM nkept GROUP BY 1) USING (src_id)",
         _NHP,

@@ -14,7 +14,7 @@ import tempfile
 import uuid
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A key is hot when it holds at least this share of the rows; at most 1 / HOT_SHARE keys can be.
@@ -83,6 +83,23 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a range that ``positions`` numbers in one task.
+RANGE_ROWS = 200_000
+
+
+def positions(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with its rows numbered from 0 in the order of columns that together are unique.
+
+    Numbers come from counts of ranges (one row each), so no task holds all rows.
+    """
+    parts = max(1, -(-df.count() // RANGE_ROWS))
+    placed = durable(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).select("__part", before.alias("__start"))
+    at = F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1
+    return placed.withColumn("__at", at).join(F.broadcast(starts), "__part").withColumn(name, F.col("__start") + F.col("__at")).drop("__part", "__at", "__start")
+
+
 def frame(columns: dict) -> pd.DataFrame:
     """A pandas frame for a task's output; an empty list becomes a column of objects, which fits any type."""
     return pd.DataFrame({k: pd.Series(v, dtype=object) if isinstance(v, list) and not v else v for k, v in columns.items()})

@@ -21,21 +21,25 @@ def registry_rows(rows: DataFrame) -> DataFrame:
     return clean.where(~text.invalid_name(F.col("name")))
 
 
-def registry_atoms(rows: DataFrame) -> DataFrame:
-    """``row_id, src_id, term, term_type, is_preferred``: names of the registry's concepts.
+def registry_names(rows: DataFrame) -> DataFrame:
+    """``row_id, col, src_id, term, term_type``: names of the registry's rows.
 
     Every row keeps its proper name; any other (term, type) is kept where it
     comes first, by row and column, among all rows.
     """
     d = registry_rows(rows)
-    src_id = text.source_id(F.col("ingredient_id")).alias("src_id")
+    src_id = text.source_id(F.coalesce("ingredient_id", F.lit(""))).alias("src_id")
     kinds = F.array(*[F.struct(F.lit(k).alias("col"), text.squeeze(F.coalesce(c, F.lit(""))).alias("term"), F.lit("SN" if c.startswith("proper") else "SY").alias("term_type")) for k, c in enumerate(NAME_COLUMNS)])
     each = d.select("row_id", src_id, F.explode(kinds).alias("e")).select("row_id", "src_id", "e.*").where("term <> ''")
     w_first = each.groupBy("term", "term_type").agg(F.min(F.struct("row_id", "col")).alias("at"))
     first = w_first.select(F.col("at.row_id").alias("row_id"), F.col("at.col").alias("col"), "term", "term_type")
     others = each.where("col > 0").join(first, ["row_id", "col", "term", "term_type"], "left_semi")
-    own = each.where("col = 0").unionByName(others)
-    return own.select("row_id", "src_id", "term", "term_type", (F.col("col") == 0).alias("is_preferred"))
+    return each.where("col = 0").unionByName(others)
+
+
+def registry_atoms(rows: DataFrame) -> DataFrame:
+    """``row_id, src_id, term, term_type, is_preferred``: the names of ``registry_names``; proper names are preferred."""
+    return registry_names(rows).select("row_id", "src_id", "term", "term_type", (F.col("col") == 0).alias("is_preferred"))
 
 
 def registry_attributes(rows: DataFrame) -> DataFrame:
@@ -98,28 +102,35 @@ SECTIONS = [
 ]
 
 
-def herb_pages(pages: DataFrame) -> DataFrame:
-    """``herb, role, name, object_type, value``: names, attributes and edges that page records (JSON in ``line``) state.
+def herb_pages(pages: DataFrame, key: str = "page", line: str = "line") -> DataFrame:
+    """``<key>, place, role, name, object_type, pos, value``: names, attributes and edges that page records (JSON in ``line``) state.
 
-    Section values are a text or a list of texts. Names are split at ', ' and
-    '; '; edge sections are split at line ends and '/', cleaned, and rid of
-    placeholders; repeats go.
+    A section is a text or a list of texts. Names are split at ', ' and '; ';
+    an attribute joins its list; edge sections are split at line ends (a text)
+    and '/', those of drugs are cut to the drug's name first. Placeholders go,
+    repeats too; ``place`` orders the sections, the page's own name first.
     """
-    out = pages.select(F.get_json_object("line", "$.herb_name").alias("herb"), F.lit("atom").alias("role"), F.lit("SY").alias("name"), F.lit(None).cast("string").alias("object_type"), F.get_json_object("line", "$.herb_name").alias("value"))
-    variant = F.try_parse_json("line")
-    for key, role, name, kind in SECTIONS:
-        many = F.try_variant_get(variant, f"$['{key}']", "array<string>")
-        one = F.try_variant_get(variant, f"$['{key}']", "string")
+    variant = F.try_parse_json(line)
+    title = pages.select(key, F.lit(0).alias("place"), F.lit("atom").alias("role"), F.lit("SY").alias("name"), F.lit(None).cast("string").alias("object_type"), F.lit(0).alias("pos"), F.get_json_object(line, "$.herb_name").alias("value"))
+    out = title
+    for k, (section, role, name, kind) in enumerate(SECTIONS, 1):
+        many = F.try_variant_get(variant, f"$['{section}']", "array<string>")
+        one = F.try_variant_get(variant, f"$['{section}']", "string")
+        is_list = many.isNotNull()
         listed = F.coalesce(many, F.when(one != "", F.array(one)), F.array().cast("array<string>"))
         if role == "atom":
             values = F.flatten(F.transform(listed, text.split_names))
         elif role == "edge":
-            values = F.transform(F.flatten(F.transform(listed, text.split_content)), text.clean_interaction)
+            if kind == "PD":
+                lines = F.transform(listed, text.clean_interaction)
+            else:
+                lines = F.when(is_list, listed).otherwise(F.flatten(F.transform(listed, lambda x: F.split(x, "\n"))))
+            values = F.flatten(F.transform(lines, text.split_slashes))
         else:
-            values = listed
-        each = pages.select(F.get_json_object("line", "$.herb_name").alias("herb"), F.lit(role).alias("role"), F.lit(name).alias("name"), F.lit(kind).cast("string").alias("object_type"), F.explode(F.array_distinct(values)).alias("value"))
-        out = out.unionByName(each)
-    return out.where(text.valid_content(F.col("value"))).distinct()
+            values = F.array(F.array_join(F.filter(listed, text.valid_content), " "))
+        each = pages.select(key, F.posexplode(F.array_distinct(F.transform(values, text.squeeze))).alias("pos", "value"))
+        out = out.unionByName(each.select(key, F.lit(k).alias("place"), F.lit(role).alias("role"), F.lit(name).alias("name"), F.lit(kind).cast("string").alias("object_type"), "pos", "value"))
+    return out.withColumn("value", text.squeeze(F.col("value"))).where(text.valid_content(F.col("value")))
 
 
 def page_sections(pages: DataFrame, key: str, body: str) -> DataFrame:
@@ -150,5 +161,3 @@ def captured_labels(answers: DataFrame) -> DataFrame:
     """``id, label``: captured service answers (``id, status, body``) in order of id, up to the first that is not 200."""
     bad = answers.where("status <> 200").agg(F.min("id").alias("stop"))
     return answers.crossJoin(F.broadcast(bad)).where("stop is null or id < stop").select("id", F.col("body").alias("label"))
-
-
