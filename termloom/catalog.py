@@ -282,6 +282,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mth_rank": lambda s, d: export.rank_table(_ranks(s, d).select(F.format_string("%04d", F.col("src_rank").cast("int")).alias("rank"), F.col("src").alias("SAB"), F.lit("PT").alias("TTY"), F.lit("N").alias("suppress")), "TLKB"),
 }
 
-from termloom.oracle import SQL  # noqa: E402
+from termloom import file_queries, oracle  # noqa: E402
+
+QUERIES |= file_queries.QUERIES
+SQL = oracle.SQL | file_queries.SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -47,7 +47,7 @@ def from_records(rows: DataFrame) -> KB:
     kind = dict(rows.select("synonyms").dtypes)["synonyms"]
     s = F.col("s")
     if "map<" in kind:
-        extra = F.map_filter(s, lambda k, v: ~k.isin(OWN_KEYS))
+        extra = F.map_filter(s, lambda k, v: ~k.isin([*OWN_KEYS, "linking_score"]))
         preferred, score = s["is_preferred"] == "true", s["linking_score"].try_cast("double")
     else:
         preferred, score = s["is_preferred"], s["linking_score"].cast("double")
@@ -72,9 +72,8 @@ def from_records(rows: DataFrame) -> KB:
 
 def to_records(kb: KB) -> DataFrame:
     """The interchange records of a knowledge base, one row per concept, lists in their order."""
-    atom = F.map_concat(
-        F.map_filter(F.create_map(*[x for k in OWN_KEYS for x in (F.lit(k), F.col(k).cast("string"))]), lambda k, v: v.isNotNull()), F.coalesce("attrs", F.create_map().cast("map<string,string>"))
-    )
+    own = F.create_map(*[x for k in [*OWN_KEYS, "linking_score"] for x in (F.lit(k), F.col(k).cast("string"))])
+    atom = F.map_concat(F.map_filter(own, lambda k, v: v.isNotNull()), F.coalesce("attrs", F.create_map().cast("map<string,string>")))
     ordered = lambda key, *cols: F.transform(F.array_sort(F.collect_list(F.struct(key, F.struct(*cols).alias("x")))), lambda e: e["x"])
     # a map cannot be ordered or compared, so it rides as JSON
     atoms = kb.atoms.withColumn("j", F.to_json(atom)).groupBy("cidx").agg(F.array_sort(F.collect_list(F.struct("pos", "j"))).alias("l"))

@@ -10,6 +10,7 @@ from termloom.functions import text
 from termloom.model import KB
 from termloom.operators.link import _running
 from termloom.operators.resolve import first_wins, resolve_objects
+from termloom.sources.files import KEEP_BLANKS
 
 
 def concept_ids(kb: KB) -> DataFrame:
@@ -55,13 +56,17 @@ def rrf(kb: KB, ids: DataFrame, preferred: DataFrame | None = None) -> dict[str,
 
 
 def write_rrf(files: dict[str, DataFrame], path: str, line_end: str = "\n") -> None:
-    """Pipe-delimited files with a header, one folder each; ``line_end`` may be CR LF (written through text)."""
+    """Pipe-delimited files with a header, one folder each; ``line_end`` may be CR LF.
+
+    The format has no quotes: line ends and pipes inside a value become blanks.
+    """
     for name, df in files.items():
+        plain = df.select(*[F.regexp_replace(F.col(c).cast("string"), r"[\r\n|]", " ").alias(c) for c in df.columns])
         if line_end == "\n":
-            df.write.option("sep", "|").option("header", True).option("emptyValue", "").csv(f"{path}/{name}.RRF")
+            plain.write.options(**KEEP_BLANKS).option("sep", "|").option("header", True).option("emptyValue", "").option("quote", "\u0000").csv(f"{path}/{name}.RRF")
         else:
-            line = F.concat(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in df.columns]), F.lit("\r"))
-            df.select(line).write.text(f"{path}/{name}.RRF")
+            line = F.concat(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in plain.columns]), F.lit("\r"))
+            plain.select(line).write.text(f"{path}/{name}.RRF")
 
 
 def graph(kb: KB, preferred: DataFrame, ids: DataFrame, lists: bool = False) -> tuple[DataFrame, DataFrame]:

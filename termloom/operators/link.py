@@ -72,18 +72,18 @@ class RuleLinker:
 
 
 class CapturedLinker:
-    """Captured output of a concept mapper: nested documents, phrases, mappings and scored candidates."""
+    """Captured output of a concept mapper (``json``): nested documents, phrases, mappings and scored candidates."""
 
-    def __init__(self, min_score: int = 800, semtypes: Sequence[str] | None = None) -> None:
-        self.min_score, self.semtypes = min_score, semtypes
+    def __init__(self, outputs: DataFrame, min_score: int = 800, semtypes: Sequence[str] | None = None) -> None:
+        self.outputs, self.min_score, self.semtypes = outputs, min_score, semtypes
 
     def link(self, queries: DataFrame) -> DataFrame:
-        """``queries`` has ``text`` with the captured JSON; the query id is the utterance's."""
-        d = queries.select(F.from_json("text", CAPTURED).alias("o")).select(F.explode("o.AllDocuments.Document").alias("d"))
+        """The captured candidates of the queries; an utterance carries the id of its query."""
+        d = self.outputs.select(F.from_json("json", CAPTURED).alias("o")).select(F.explode("o.AllDocuments.Document").alias("d"))
         p = d.select(F.explode("d.Utterances").alias("u")).select(F.col("u.PMID").alias("id"), F.posexplode("u.Phrases").alias("phrase", "p"))
         m = p.select("id", "phrase", F.col("p.PhraseText").alias("matched"), F.posexplode("p.Mappings").alias("mapping", "m"))
         c = m.select("id", "matched", "phrase", "mapping", F.posexplode("m.MappingCandidates").alias("at", "c"))
-        c = c.withColumn("pos", F.struct("phrase", "mapping", "at"))
+        c = c.withColumn("pos", F.struct("phrase", "mapping", "at")).join(queries.select(F.col("id").cast("string").alias("id")).distinct(), "id", "left_semi")
         if self.semtypes is not None:
             c = c.where(F.arrays_overlap("c.SemTypes", F.array(*[F.lit(s) for s in self.semtypes])))
         return c.select("id", "matched", "pos", F.col("c.CandidatePreferred").alias("term"), F.lit("UMLS").alias("src"), F.col("c.CandidateCUI").alias("code"), F.abs(F.col("c.CandidateScore").try_cast("int")).cast("double").alias("score"), F.col("c.SemTypes").alias("semtypes"))
@@ -142,9 +142,16 @@ class DictionaryLinker:
         if self.semtypes is not None:
             e = e.where(F.arrays_overlap("semtypes", F.array(*[F.lit(s) for s in self.semtypes])))
         terms = runtime.durable(e.select("e").distinct().withColumn("y", self._triples(F.col("e"))))
-        prefix = lambda c: F.slice(F.array_sort(c), F.lit(1), F.greatest(F.size(c) - F.ceil(F.size(c) * self.threshold).cast("int") + 1, F.lit(1)))
-        left = grams.select("g", F.size("x").alias("n"), F.explode(prefix(F.col("x"))).alias("k"))
-        right = terms.select("e", F.size("y").alias("m"), F.explode(prefix(F.col("y"))).alias("k"))
+        # rare triples first: those of no entry, then by the number of entries that have them
+        often = runtime.durable(terms.select(F.explode("y").alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("df")))
+
+        def prefix(df: DataFrame, key: str, x: str, size: str) -> DataFrame:
+            each = df.select(key, F.size(x).alias(size), F.explode(x).alias("k")).join(often, "k", "left")
+            rank = F.row_number().over(Window.partitionBy(key).orderBy(F.coalesce("df", F.lit(0)), "k"))
+            keep = F.greatest(F.col(size) - F.ceil(F.col(size) * self.threshold).cast("int") + 1, F.lit(1))
+            return each.withColumn("at", rank).where(F.col("at") <= keep).where("df is not null").select(key, size, "k")
+
+        left, right = prefix(grams, "g", "x", "n"), runtime.durable(prefix(terms, "e", "y", "m"))
         met = left.join(right, "k").where((F.col("n") * self.threshold <= F.col("m")) & (F.col("m") * self.threshold <= F.col("n"))).select("g", "e").distinct()
         both = met.join(grams, "g").join(terms, "e")
         shared = F.size(F.array_intersect("x", "y"))
@@ -166,10 +173,14 @@ class DictionaryLinker:
 
 
 class AnnotatorLinker:
-    """Captured answers of an annotation service (``id, matched, term, src, code``): order is kept, first ones win."""
+    """Captured answers of an annotation service (``id, matched, pos, term, src, code``): order is kept, first ones win."""
+
+    def __init__(self, answers: DataFrame) -> None:
+        self.answers = answers
 
     def link(self, queries: DataFrame) -> DataFrame:
-        return queries.select("id", "matched", "pos", "term", "src", "code", F.lit(0.0).alias("score"), F.lit(None).cast("array<string>").alias("semtypes"))
+        mine = self.answers.join(queries.select(F.col("id").cast("string").alias("id")).distinct(), "id", "left_semi")
+        return mine.select("id", "matched", "pos", "term", "src", "code", F.lit(0.0).alias("score"), F.lit(None).cast("array<string>").alias("semtypes"))
 
     def best(self, candidates: DataFrame, top_n: int = 1) -> DataFrame:
         return top(candidates, top_n)
@@ -186,7 +197,7 @@ def linkables(kb: KB, preferred: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def route(queries: DataFrame, linkers: dict[str, Linker], top_n: int = 1) -> DataFrame:
-    """CANDIDATES of every query from the linker of its terminology; queries of unknown terminologies are skipped."""
+    """CANDIDATES of every query (``id, text, terminology``) from the linker of its terminology; unknown terminologies are skipped."""
     out = None
     for key, linker in linkers.items():
         found = linker.best(linker.link(queries.where(F.col("terminology") == key).select("id", "text")), top_n)

@@ -82,6 +82,21 @@ def annotation_tasks(kb: KB, pairs: DataFrame, preferred: DataFrame) -> DataFram
     return d.select("i", "j", "ing_i", "ing_j", F.array_sort(F.array_intersect("terms_i", "terms_j")).alias("matched_on"))
 
 
+# What an annotator may answer about a pair.
+OPTIONS = [(1, "Equal"), (2, "Not Equal"), (3, "Parent-Child"), (4, "Child-Parent")]
+
+
+def annotation_stream(tasks: DataFrame, html: str) -> DataFrame:
+    """``_input_hash, _task_hash, html, options, i, j, ...``: tasks in the order of their pairs as an annotation tool takes them.
+
+    The place of a task is its input hash, and its negative less one its task
+    hash, so no two are alike; every task carries the page template and OPTIONS.
+    """
+    placed = runtime.positions(tasks, ["i", "j"], "_input_hash")
+    options = F.array(*[F.struct(F.lit(k).alias("id"), F.lit(t).alias("text")) for k, t in OPTIONS])
+    return placed.select("_input_hash", (-F.col("_input_hash") - 1).alias("_task_hash"), F.lit(html).alias("html"), options.alias("options"), *tasks.columns)
+
+
 def filter_annotated(pairs: DataFrame, annotations: DataFrame) -> DataFrame:
     """``i, j``: pairs judged equal (answer 'accept' with option 1) and those not judged at all."""
     judged = annotations.select("i", "j").distinct()

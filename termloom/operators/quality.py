@@ -44,6 +44,21 @@ def lint(kb: KB, labels: DataFrame, properties: DataFrame, edges: DataFrame) ->
     return out.distinct()
 
 
+def lint_report(breaches: DataFrame, origin: DataFrame) -> DataFrame:
+    """``file, message, n``: the distinct messages of every file, with how many concepts they are about.
+
+    ``origin`` has ``cidx, file``; a file without breaches has no row.
+    """
+    said = F.concat_ws(": ", "rule", F.regexp_replace(F.coalesce("value", F.lit("none")), r"[\n\t\r]", " "))
+    each = runtime.lookup(breaches, origin.select("cidx", "file"), "cidx", F.col("value"), [], "inner").select("file", said.alias("message"), "cidx").distinct()
+    return each.groupBy("file", "message").agg(F.count(F.lit(1)).alias("n"))
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """A text report per file: its messages in order."""
+    report.sort("file", "message").select("file", F.concat_ws("\t", "message", "n").alias("value")).write.partitionBy("file").text(path)
+
+
 def lint_lines(lines: DataFrame, key: str, text: str) -> DataFrame:
     """``<key>``: lines that are no JSON object."""
     variant = F.try_parse_json(text)
@@ -123,6 +138,19 @@ def codes_per_concept(kb: KB, source: str = "UMLS", concept_type: str = "SDSI")
     return mine.groupBy("cidx").agg(F.countDistinct("src_id").alias("n"))
 
 
+def code_ratio(kb: KB, source: str = "UMLS", concept_type: str = "SDSI") -> DataFrame:
+    """``codes, concepts, ratio``: distinct codes of a source and the distinct concepts of a type that have any."""
+    mine = kb.atoms.where(F.col("src") == source).join(kb.concepts.where(F.col("concept_type") == concept_type).select("cidx"), "cidx")
+    both = mine.agg(F.countDistinct("src_id").alias("codes"), F.countDistinct("cidx").alias("concepts"))
+    return both.select("codes", "concepts", (F.col("codes") / F.nullif("concepts", F.lit(0))).alias("ratio"))
+
+
+def published_statistics(conso: DataFrame, sty: DataFrame) -> DataFrame:
+    """``STY, SAB, concepts, atoms`` of published name and type files, joined by CUI."""
+    both = conso.join(sty, "CUI")
+    return both.groupBy("STY", "SAB").agg(F.countDistinct("CUI").alias("concepts"), F.count(F.lit(1)).alias("atoms"))
+
+
 def extremes(counts: DataFrame, key: str, n: str, k: int = 3) -> DataFrame:
     """``side, key, n``: the ``k`` lowest and highest by (n, key)."""
     low = counts.orderBy(n, key).limit(k).select(F.lit("low").alias("side"), key, n)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 _KB = """
 concepts AS (SELECT cidx, ui, concept_type, regexp_extract(ui, '^(.+)[0-9]{7}$', 1) AS prefix, try_cast(regexp_extract(ui, '([0-9]{7})$', 1) AS BIGINT) AS num FROM ingredients),
@@ -68,12 +69,12 @@ nprod AS (SELECT replace(product_id, '.0', '') AS src_id, min({_SQUEEZE.format('
 nedges AS (SELECT DISTINCT replace(ingredient_id, '.0', '') AS ingredient_id, replace(product_id, '.0', '') AS product_id FROM nkept WHERE product_id IS NOT NULL)"""
 
 
-def _clean(c: str) -> str:
+def _clean(c: str, filter_words: Sequence[str] = ()) -> str:
     """The cuts of label names, nested."""
     from termloom.functions import text
 
     c = _SQUEEZE.format(f"string_split_regex({c}, '{text.LABEL_GAP}')[1]")
-    for pattern, by in text.label_cuts():
+    for pattern, by in text.label_cuts(filter_words):
         pattern, by = pattern.replace("'", "''"), re.sub(r"\$(\d)", r"\\\1", by)
         c = _SQUEEZE.format(f"regexp_replace({c}, '{pattern}', '{by}', 'g')")
     return c

@@ -13,23 +13,33 @@ from termloom.operators import export, link, resolve
 from termloom.sources import files
 
 
-def load_kb(spark: SparkSession, folder: str) -> KB:
-    """The merged concepts of a version folder."""
-    if not os.path.exists(os.path.join(folder, ".version")):
+MERGED = "concepts/concepts_merged.jsonl"
+
+
+def load_kb(spark: SparkSession, folder: str) -> tuple[KB, dict[str, list[str]]]:
+    """The merged concepts of a version folder, and the vocabularies of its version (none without ``config/kb.ini``)."""
+    if not runtime.exists(spark, f"{folder}/.version"):
         raise FileNotFoundError(f"{folder} is no version folder: it has no .version")
-    return model.from_records(files.read_concepts(spark, os.path.join(folder, "concepts", "concepts_merged.jsonl")))
+    version = runtime.read_small(spark, f"{folder}/.version").strip()
+    settings = f"{folder}/config/kb.ini"
+    known = files.source_ranks(runtime.read_small(spark, settings), version) if runtime.exists(spark, settings) else {}
+    return model.from_records(files.read_concepts(spark, f"{folder}/{MERGED}").where("ui is not null")), known
+
+
+def make_version(spark: SparkSession, folder: str, version: str, settings: str | None = None) -> None:
+    """A new version folder, with its settings if given."""
+    runtime.write_small(spark, f"{folder}/.version", f"{version}\n")
+    if settings is not None:
+        runtime.write_small(spark, f"{folder}/config/kb.ini", settings)
 
 
-def make_version(folder: str, version: str) -> None:
-    """The folders of a new version."""
-    for name in ("concepts", "config", "build", "release"):
-        os.makedirs(os.path.join(folder, name), exist_ok=True)
-    with open(os.path.join(folder, ".version"), "w") as f:
-        f.write(f"{version}\n")
+def concat_sources(spark: SparkSession, paths: list[str], out: str) -> None:
+    """The concept lines of several sources as one set of files, in argument order."""
+    files.numbered_lines(spark, *paths).sort("cidx").select("line").write.text(out)
 
 
 def release(folder: str, out: str) -> str:
-    """A zip of a version's release folder."""
+    """A zip of a version's release folder (on the driver's own disk)."""
     return shutil.make_archive(out, "zip", os.path.join(folder, "release"))
 
 

@@ -54,6 +54,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     where = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if where is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         where = tempfile.mkdtemp(prefix="termloom-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(where)
@@ -69,6 +71,46 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder's path in the shared folder; removed when the process ends."""
+    path = f"{shared_dir(spark)}/termloom-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _file(spark: SparkSession, path: str) -> tuple:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whatever file system."""
+    fs, p = _file(spark, path)
+    return fs.exists(p)
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of one small file (settings, a schema) on whatever file system."""
+    fs, p = _file(spark, path)
+    if not fs.exists(p):
+        raise FileNotFoundError(path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """One small file on whatever file system; its folders are made, an old one is replaced."""
+    fs, p = _file(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it.
 
@@ -77,9 +119,8 @@ def durable(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     ship(spark)
-    path = f"{shared_dir(spark)}/termloom-{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions import text
@@ -161,3 +161,39 @@ def captured_labels(answers: DataFrame) -> DataFrame:
     """``id, label``: captured service answers (``id, status, body``) in order of id, up to the first that is not 200."""
     bad = answers.where("status <> 200").agg(F.min("id").alias("stop"))
     return answers.crossJoin(F.broadcast(bad)).where("stop is null or id < stop").select("id", F.col("body").alias("label"))
+
+
+# Sections of a herb page that are read; an absent one is empty.
+PAGE_HEADERS = ["scientific_name", "clinical_summary", "purported_uses", "food_sources", "mechanism_of_action", "warnings", "adverse_reactions", "herb-drug_interactions"]
+
+
+def _plain(c: Column) -> Column:
+    """The text of a piece of HTML."""
+    text_only = F.regexp_replace(c, r"(?s)<!--.*?-->|<[^>]*>", "")
+    for entity, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+        text_only = F.replace(text_only, F.lit(entity), F.lit(sign))
+    return text.strip(text_only)
+
+
+def html_sections(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """``<key>, header, bullets, body``: the known sections of HTML pages (``PAGE_HEADERS``).
+
+    A section runs from the tag that carries its name (``data-listname``) to
+    the next such tag; names are lower-cased and joined by '_'. Its bullets are
+    the items of its first bullet list; without one its body is its whole text.
+    A section that is absent has an empty body; of repeated ones the last
+    counts. Null pages have empty sections.
+    """
+    block = F.lit(r'(?s)data-listname="([^"]*)"[^>]*>(.*?)(?=<[^<>]*data-listname="|\z)')
+    found = F.arrays_zip(F.regexp_extract_all(html, block, 1).alias("h"), F.regexp_extract_all(html, block, 2).alias("b"))
+    each = pages.select(key, F.posexplode(found).alias("pos", "s")).select(key, "pos", F.regexp_replace(F.lower(text.strip(F.col("s.h"))), " ", "_").alias("header"), F.col("s.b").alias("b"))
+    last = each.where(F.col("header").isin(PAGE_HEADERS)).groupBy(key, "header").agg(F.max_by("b", "pos").alias("b"))
+    listed = F.regexp_extract("b", r'(?s)<ul[^>]*class="[^"]*bullet-list[^"]*"[^>]*>(.*?)</ul>', 1)
+    bullets = F.transform(F.regexp_extract_all(listed, F.lit(r"(?s)<li[^>]*>(.*?)</li>"), 1), _plain)
+    has = F.col("b").rlike(r'(?s)<ul[^>]*class="[^"]*bullet-list')
+    # the headline's own text stands before its closing tag
+    inner = F.regexp_replace("b", r"(?s)\A[^<]*</[^>]*>", "")
+    said = last.select(key, "header", F.when(has, bullets).alias("bullets"), F.when(~has, _plain(inner)).alias("body"))
+    every = pages.select(key).distinct().withColumn("header", F.explode(F.array(*[F.lit(h) for h in PAGE_HEADERS])))
+    joined = every.join(said, [key, "header"], "left")
+    return joined.select(key, "header", "bullets", F.when(F.col("bullets").isNull(), F.coalesce("body", F.lit(""))).alias("body"))

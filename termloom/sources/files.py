@@ -9,7 +9,11 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from termloom import model
+from termloom import model, runtime
+
+
+#: Writer's options under which blanks at the ends of a value stay.
+KEEP_BLANKS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def strings(*names: str) -> str:
@@ -83,9 +87,13 @@ def read_semantic_types(spark: SparkSession, path: str, keep: list[str] | None =
     return rows.select("code", "tree", "short", "long", F.explode(F.array("code", "short")).alias("key")).dropDuplicates(["key"])
 
 
-def read_text_csv(spark: SparkSession, path: str, names: list[str] | None = None, sep: str = ",", encoding: str = "UTF-8", header: bool = True) -> DataFrame:
-    """A CSV with all columns as strings; names come from the header or from ``names``."""
-    reader = spark.read.option("sep", sep).option("encoding", encoding).option("multiLine", True).option("escape", '"').option("header", header)
+def read_text_csv(spark: SparkSession, path: str, names: list[str] | None = None, sep: str = ",", encoding: str = "UTF-8", header: bool = True, multiline: bool = True) -> DataFrame:
+    """A CSV with all columns as strings; names come from the header or from ``names``.
+
+    Quoted fields may hold line ends; a file is then one task. Without
+    ``multiline`` files are split, and ``records.repair`` mends broken records.
+    """
+    reader = spark.read.option("sep", sep).option("encoding", encoding).option("multiLine", multiline).option("escape", '"').option("header", header)
     if names:
         reader = reader.schema(strings(*names))
     return reader.csv(path)
@@ -94,14 +102,32 @@ def read_text_csv(spark: SparkSession, path: str, names: list[str] | None = None
 def flat_to_csv(spark: SparkSession, path: str, header_path: str, out: str) -> None:
     """A pipe-delimited Latin-1 file without header, and its header file, as one UTF-8 CSV."""
     names = [r[0].strip() for r in spark.read.text(header_path).collect() if r[0].strip()]
-    read_text_csv(spark, path, names, sep="|", encoding="ISO-8859-1", header=False).write.option("header", True).csv(out)
+    read_text_csv(spark, path, names, sep="|", encoding="ISO-8859-1", header=False).write.options(**KEEP_BLANKS).option("header", True).option("escape", '"').csv(out)
+
+
+def read_label_groups(spark: SparkSession, path: str) -> DataFrame:
+    """``group_id, group_name, synonyms, category`` of a label database's CSV with a header: those columns, distinct rows, whole-number ids."""
+    rows = read_text_csv(spark, path)
+    column = lambda name: F.col(f"`{name}`")
+    picked = rows.select(column("Ingredient - Group ID").cast("bigint").alias("group_id"), column("Ingredient - Group Name").alias("group_name"), column("Synonyms/Sources").alias("synonyms"), column("CATEGORY").alias("category"))
+    return picked.distinct()
+
 
+def read_label_products(spark: SparkSession, path: str) -> DataFrame:
+    """Products of a label database's JSON Lines, with their array of ingredient groups."""
+    return spark.read.schema("Product_Name string, DSLD_ID string, LanguaL_Product_Type string, ingredients array<struct<Ingredient_Group_GRP_ID:string>>").json(path)
 
-def source_ranks(path: str, version: str) -> dict[str, list[str]]:
-    """Vocabularies of a version in an ini file; ``refer_to`` leads to another version's section."""
+
+def read_words(spark: SparkSession, path: str) -> list[str]:
+    """The words of a list file, one a line, without blanks around them; empty lines go."""
+    return [w.strip() for w in runtime.read_small(spark, path).splitlines() if w.strip()]
+
+
+def source_ranks(settings: str, version: str) -> dict[str, list[str]]:
+    """Vocabularies of a version in the text of an ini file; ``refer_to`` leads to another version's section."""
     ini = configparser.ConfigParser(allow_no_value=True)
     ini.optionxform = str
-    ini.read(path)
+    ini.read_string(settings)
     seen: set[str] = set()
     while ini.has_option(version, "refer_to"):
         if version in seen:
@@ -111,6 +137,12 @@ def source_ranks(path: str, version: str) -> dict[str, list[str]]:
     return {k: [x.strip() for x in (v or "").splitlines() if x.strip()] for k, v in ini.items(version)}
 
 
+def vocabulary_table(spark: SparkSession, vocabularies: dict[str, list[str]]) -> DataFrame:
+    """``vocabulary, rank, value`` of declared vocabularies, in their order from 1 (small, driver-made)."""
+    rows = [(name, k, value) for name, values in vocabularies.items() for k, value in enumerate(values, 1)]
+    return spark.createDataFrame(rows, "vocabulary string, rank int, value string")
+
+
 def as_list(c: Column) -> Column:
     """A JSON text that is a string or a list of strings, as an array; others give null."""
     variant = F.try_parse_json(c)
@@ -145,6 +177,14 @@ def schema_tables(spark: SparkSession, schema: dict) -> tuple[DataFrame, DataFra
     return make(nodes, "label string, links_to string"), make(props, "label string, property string"), make(edges, "edge string, property string")
 
 
+def create_schema(spark: SparkSession, text: str, path: str) -> None:
+    """The tables of a schema text under ``path``; refused if anything is there already."""
+    if runtime.exists(spark, path):
+        raise FileExistsError(f"{path} is not empty")
+    for name, df in zip(("labels", "properties", "edges"), schema_tables(spark, parse_schema(text))):
+        df.write.parquet(f"{path}/{name}")
+
+
 def linker_settings(text: str, registry: dict[str, type]) -> dict[str, tuple[type, dict]]:
     """``terminology -> (class, parameters)`` of a JSON text; classes come from ``registry``, never from the text."""
     out = {}

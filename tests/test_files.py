@@ -8,7 +8,7 @@ from termloom import catalog, model
 from termloom.functions import text
 from termloom.operators import export, link, quality, resolve
 from termloom.plans import pipelines
-from termloom.sources import converters, files, records
+from termloom.sources import builders, converters, files, records
 from termloom.streaming import lint
 
 
@@ -101,11 +101,11 @@ def test_repair_files(spark, tmp_path):
     assert [r["record"] for r in records.repair_files(spark, str(tmp_path / "f.csv"), 2).sort("pos").collect()] == ["1,a", "2,b"]
 
 
-def test_ini_refers(tmp_path):
-    (tmp_path / "kb.ini").write_text("[1.0]\nsources =\n    UMLS\n    NMCD\n[1.1]\nrefer_to = 1.0\n[a]\nrefer_to = b\n[b]\nrefer_to = a\n")
-    assert files.source_ranks(str(tmp_path / "kb.ini"), "1.1")["sources"] == ["UMLS", "NMCD"]
+def test_ini_refers():
+    settings = ("[1.0]\nsources =\n    UMLS\n    NMCD\n[1.1]\nrefer_to = 1.0\n[a]\nrefer_to = b\n[b]\nrefer_to = a\n")
+    assert files.source_ranks(settings, "1.1")["sources"] == ["UMLS", "NMCD"]
     with pytest.raises(ValueError):
-        files.source_ranks(str(tmp_path / "kb.ini"), "a")
+        files.source_ranks(settings, "a")
 
 
 def test_schema_parser(spark):
@@ -117,7 +117,7 @@ def test_schema_parser(spark):
 
 def test_linker_settings_use_the_registry():
     got = files.linker_settings('{"t": {"class_name": "captured", "min_score": 700}}', link.REGISTRY)
-    assert got["t"][0](**got["t"][1]).min_score == 700
+    assert got["t"][0](None, **got["t"][1]).min_score == 700
     with pytest.raises(KeyError):
         files.linker_settings('{"t": {"class_name": "os"}}', link.REGISTRY)
 
@@ -153,11 +153,46 @@ def test_label_products(spark):
 
 def test_herb_pages(spark):
     line = json.dumps({"herb_name": "H", "common_name": ["a, b", "c"], "scientific_name": "s; t", "purported_uses": "Pain/ache\nGeneral\nDose 5 mg/ml", "warnings": "", "herb-drug_interactions": ["Drug (x): text", "None known."]})
-    got = {(r["role"], r["name"], r["value"]) for r in converters.herb_pages(spark.createDataFrame([(line,)], "line string")).collect()}
+    got = {(r["role"], r["name"], r["value"]) for r in converters.herb_pages(spark.createDataFrame([(1, line), (2, "broken"), (3, None)], "page int, line string")).collect()}
     assert {("atom", "CN", v) for v in "abc"} <= got and ("edge", "interacts_with", "Drug") in got
     assert {v for r, n, v in got if n == "is_effective_for"} == {"Pain", "ache", "Dose 5 mg/ml"}
 
 
+def test_builders_of_small_sources(spark):
+    """Registry rows of one id become one concept with edges both ways; denied label groups go; herbs come with what they name."""
+    kind = "row_id bigint, ingredient_id string, product_id string, proper_name string, proper_name_f string, common_name string, common_name_f string, source_material string, source_material_f string"
+    rows = [(0, "7.0", "p.0", "Aa  bb", None, "cc", None, None, "racine"), (1, "7", "q", "AA bb", None, "dd", None, "leaf", None), (2, "3", "p", "Zz", None, None, None, None, None), (3, "4", "p", "9", None, None, None, None, None), (4, None, "r", "Yy", "", None, None, None, None)]
+    kb = builders.registry_kb(spark.createDataFrame(rows, kind), spark.createDataFrame([("p", "P one"), ("p.0", "P two"), ("q", None)], "product_id string, product_name string"))
+    got = {r["ui"]: (r["concept_type"], r["synonyms"], r["attributes"], r["relationships"]) for r in builders.flat_records(kb).collect()}
+    assert got == {
+        "NHPID0000001": ("SDSI", "Aa bb|NHPID|7|SN|true; cc|NHPID|7|SY|false; dd|NHPID|7|SY|false", "source_material|racine|NHPID", "ingredient_of|NHPID0000004|NHPID"),
+        "NHPID0000002": ("SDSI", "Zz|NHPID|3|SN|true", None, "ingredient_of|NHPID0000004|NHPID"),
+        "NHPID0000003": ("SDSI", "Yy|NHPID||SN|true", None, None),
+        "NHPID0000004": ("DSP", "P one|NHPID|p|SY|true; P two|NHPID|p|SY|true", None, "has_ingredient|NHPID0000001|NHPID; has_ingredient|NHPID0000002|NHPID"),
+    }
+    assert model.to_records(kb).count() == 4
+    groups = spark.createDataFrame([(1, "Acai", " botanical ", '"Acai, acai (euterpe oleracea)  juice;ACAI"'), (2, "Header", "x", "y"), (3, None, "x", "y"), (4, "Empty", "x", "5 mg")], "group_id bigint, group_name string, category string, synonyms string")
+    sold = spark.createDataFrame([("S", "9", "Kind", [("1",), ("2",), ("1",)]), (None, "8", "", None)], "Product_Name string, DSLD_ID string, LanguaL_Product_Type string, ingredients array<struct<Ingredient_Group_GRP_ID:string>>")
+    got = [tuple(r) for r in builders.flat_records(builders.label_kb(groups, sold)).sort("ui").collect()]
+    assert got == [
+        ("DSLD0000001", "SDSI", "Acai|DSLD|1|SY|true; Acai, acai|DSLD|1|SY|false; euterpe oleracea|DSLD|1|SY|false", "ingredient_category|botanical|DSLD", None),
+        ("DSLD0000002", "DSP", "S|DSLD|9|SY|true", "langual_type|Kind|DSLD", "has_ingredient|DSLD0000001|DSLD"),
+    ]
+    page = json.dumps({"herb_name": "H", "common_name": ["a, b", "A"], "clinical_summary": ["x", "General", "y"], "purported_uses": "Pain/ache", "adverse_reactions": "", "herb-drug_interactions": ["Drug (x): text"]})
+    got = [tuple(r) for r in builders.flat_records(builders.herb_kb(spark.createDataFrame([(1, page), (2, "broken"), (3, None), (None, page)], "page int, line string"))).sort("ui").collect()]
+    assert [(u, t, s) for u, t, s, _, _ in got] == [("MSKCC0000001", "DIS", "Pain|MSKCC|0|SY|false"), ("MSKCC0000002", "DIS", "ache|MSKCC|0|SY|false"), ("MSKCC0000003", "PD", "Drug|MSKCC|0|SY|false"), ("MSKCC0000004", "SDSI", "H|MSKCC|0|SY|true; a|MSKCC|0|CN|false; b|MSKCC|0|CN|false")]
+    assert got[3][3:] == ("background|x y|MSKCC", "is_effective_for|MSKCC0000001|MSKCC; is_effective_for|MSKCC0000002|MSKCC; interacts_with|MSKCC0000003|MSKCC")
+    none = builders.registry_kb(spark.createDataFrame([], kind), spark.createDataFrame([], "product_id string, product_name string"))
+    assert none.concepts.collect() == []
+
+
+def test_html_sections(spark):
+    page = '<h3 data-listname="Purported Uses">Purported Uses</h3><div><ul class="x bullet-list"><li>a &amp; b</li><li> <b>c</b></li></ul></div><h3 data-listname="Warnings"> Warnings</h3><p>No <i>use</i>.</p>'
+    got = {(r["k"], r["header"]): (r["bullets"], r["body"]) for r in converters.html_sections(spark.createDataFrame([(1, page), (2, None)], "k int, html string"), "k").collect()}
+    assert got[1, "purported_uses"] == (["a & b", "c"], None) and got[1, "warnings"] == (None, "No use.")
+    assert got[1, "food_sources"] == (None, "") and got[2, "warnings"] == (None, "") and len(got) == 16
+
+
 def test_crawl_and_captured(spark):
     pages = spark.createDataFrame([(1, '<a class="x" href="/h/1">A  b</a><a href="http://o/2">A b</a>')], "page_id bigint, html string")
     assert [tuple(r) for r in converters.crawl(pages, "http://s").collect()] == [("A b", "http://s/h/1")]
@@ -172,10 +207,29 @@ def captured():
 
 
 def test_captured_linker(spark):
-    q = spark.createDataFrame([("7", captured())], "id string, text string")
-    linker = link.CapturedLinker(min_score=800)
+    q = spark.createDataFrame([("7", "p"), ("8", "q")], "id string, text string")
+    outputs = spark.createDataFrame([(captured(),), ("broken",), (None,)], "json string")
+    linker = link.CapturedLinker(outputs, min_score=800)
     assert [(r["code"], r["score"]) for r in linker.best(linker.link(q)).collect()] == [("C2", 950.0)]
-    assert {r["code"] for r in link.CapturedLinker(semtypes=["x"]).link(q).collect()} == {"C1"}
+    assert {r["code"] for r in link.CapturedLinker(outputs, semtypes=["x"]).link(q).collect()} == {"C1"}
+    assert linker.link(q.where("id = '8'")).collect() == []
+
+
+def test_route_gives_every_linker_its_queries(spark):
+    """The rule linker's three queries, and captured answers, side by side."""
+    queries = [("1", "Renal", "rules"), ("2", "Cardiovascular", "rules"), ("3", "genitourinary", "rules"), ("7", "p", "mapper"), ("9", "blood electrolytes", "notes"), ("5", "x", "unknown")]
+    answers = [("9", "blood", 0, "Blood", "MEDDRA", "A1"), ("9", "blood", 1, "Blood cell", "MEDDRA", "A2"), ("9", "electrolytes", 2, "Electrolyte", "MEDDRA", "A3"), ("8", "y", 0, "Y", "MEDDRA", "A4")]
+    linkers = {
+        "rules": link.RuleLinker(),
+        "mapper": link.CapturedLinker(spark.createDataFrame([(captured(),)], "json string")),
+        "notes": link.AnnotatorLinker(spark.createDataFrame(answers, "id string, matched string, pos int, term string, src string, code string")),
+        "dictionary": link.DictionaryLinker(spark.createDataFrame([("a", "", "C", ["x"])], "term string, preferred string, code string, semtypes array<string>")),
+    }
+    got = link.route(spark.createDataFrame(queries, "id string, text string, terminology string"), linkers)
+    assert sorted((r["id"], r["matched"], r["code"]) for r in got.collect()) == [
+        ("1", "renal", "10038359"), ("2", "cardio", "10007541"), ("2", "vascular", "10047065"), ("3", "genito", "10038604"), ("3", "urinary", "10038359"),
+        ("7", "p", "C2"), ("9", "blood", "A1"), ("9", "electrolytes", "A3"),
+    ]
 
 
 def test_dictionary_linker(spark):
@@ -208,9 +262,17 @@ def test_publish(spark, data, tmp_path):
 
 
 def test_version_folder(spark, tmp_path):
-    pipelines.make_version(str(tmp_path / "v"), "1.0")
+    folder = str(tmp_path / "v")
+    with pytest.raises(FileNotFoundError):
+        pipelines.load_kb(spark, folder)
+    pipelines.make_version(spark, folder, "1.0")
+    (tmp_path / "v/concepts").mkdir()
     (tmp_path / "v/concepts/concepts_merged.jsonl").write_text(json.dumps({"ui": "X0000001", "concept_type": "SDSI", "synonyms": [{"term": "a"}]}) + "\n")
-    assert pipelines.load_kb(spark, str(tmp_path / "v")).atoms.count() == 1
+    kb, known = pipelines.load_kb(spark, folder)
+    assert kb.atoms.count() == 1 and known == {}
+    pipelines.make_version(spark, folder, "1.0", "[1.0]\nsources =\n    A\n")
+    assert pipelines.load_kb(spark, folder)[1] == {"sources": ["A"]}
+    (tmp_path / "v/release").mkdir()
     assert pipelines.release(str(tmp_path / "v"), str(tmp_path / "z")).endswith(".zip")
 
 
