@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from termloom import model, runtime
 from termloom.functions import text
 from termloom.operators import export, link, nested, pairs, quality, resolve, units
+from termloom.plans import pipelines
 from termloom.sources import builders, converters, files
 
 # The domain schema (labels with their terminology, properties, edges with theirs).
@@ -41,15 +42,20 @@ def _kb(spark: SparkSession, d: str) -> model.KB:
     return model.load(spark, d)
 
 
+def _of_type(kb: model.KB, kind: str) -> model.KB:
+    """The concepts of one type, with all relationships."""
+    return model.KB(kb.concepts.where(F.col("concept_type") == kind), kb.atoms, kb.attributes, kb.rel_attributes, kb.relationships)
+
+
 def _ranks(spark: SparkSession, d: str) -> DataFrame:
     return runtime.table(spark, d, "source_rank").select("src", "src_rank")
 
 
 def doc_terms(spark: SparkSession, d: str) -> DataFrame:
-    """Documents as concepts: type is the language, terms are the distinct lower-case lines of over 20 characters."""
+    """Documents as concepts: type is the language, terms are the distinct lower-case lines that are not empty."""
     docs = runtime.table(spark, d, "documents").where("text is not null")
     lines = docs.select(F.col("doc_id").alias("cidx"), F.coalesce("lang", F.lit("")).alias("concept_type"), F.explode(F.split("text", "\n")).alias("l"))
-    return lines.select("cidx", "concept_type", F.lower(F.trim("l")).alias("term_lc")).where(F.length("term_lc") > 20).distinct()
+    return lines.select("cidx", "concept_type", F.lower(F.trim("l")).alias("term_lc")).where("term_lc <> ''").distinct()
 
 
 def _ordered_pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -160,14 +166,53 @@ def _rrf(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def _graph(part: int) -> Callable[[SparkSession, str], DataFrame]:
+    """Nodes or edges, their properties as sorted text."""
+
     def run(spark: SparkSession, d: str) -> DataFrame:
         kb = _kb(spark, d)
         out = export.graph(kb, resolve.preferred_atoms(kb, _ranks(spark, d)), export.concept_ids(kb))[part]
-        return out.drop("properties") if part else out.select("id", "label", "name")
+        entries = F.array_sort(F.map_entries(F.from_json("properties", "map<string,string>")))
+        return out.withColumn("properties", F.nullif(F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), "; "), F.lit("")))
 
     return run
 
 
+def _captured_outputs(spark: SparkSession, d: str) -> DataFrame:
+    """Captured mapper output for every linkable: each reference term of its text's first letter and length is a candidate."""
+    q = _linkable(spark, d).withColumn("k", F.concat(F.lower(F.substring("text", 1, 1)), F.length("text")))
+    r = runtime.table(spark, d, "reference_terms").select(F.concat(F.substring("ref_term", 1, 1), F.length("ref_term")).alias("k"), "ref_id", "ref_term", "concept_type")
+    one = F.struct(F.col("ref_id").alias("o"), F.struct(F.col("ref_term").alias("CandidatePreferred"), F.format_string("C%07d", "ref_id").alias("CandidateCUI"), F.format_string("-%d", (700 + F.pmod(F.col("ref_id") * 37, F.lit(300))).cast("int")).alias("CandidateScore"), F.array("concept_type").alias("SemTypes")).alias("c"))
+    listed = q.join(r, "k").groupBy("id", "text").agg(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["c"]).alias("MappingCandidates"))
+    mappings = F.array(F.struct("MappingCandidates")).alias("Mappings")
+    phrases = F.array(F.struct(F.col("text").alias("PhraseText"), mappings)).alias("Phrases")
+    document = F.struct(F.array(F.struct(F.col("id").alias("PMID"), phrases)).alias("Utterances")).alias("Document")
+    return listed.select(F.to_json(F.struct(F.array(F.struct(document)).alias("AllDocuments"))).alias("json"))
+
+
+def _service_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Captured answers of an annotation service: the linkables' words that are the first word of a reference term."""
+    words = _linkable(spark, d).select("id", F.posexplode(F.split(F.lower("text"), " ")).alias("at", "matched"))
+    r = runtime.table(spark, d, "reference_terms").select(F.substring_index("ref_term", " ", 1).alias("matched"), F.col("ref_term").alias("term"), F.format_string("C%07d", "ref_id").alias("code"))
+    return words.join(r, "matched").select("id", "matched", F.struct("at", "code").alias("pos"), "term", F.lit("MEDDRA").alias("src"), "code")
+
+
+def _routed(spark: SparkSession, d: str) -> DataFrame:
+    """Diseases to the mapper, signs to the service, organ systems to the rules; others have no linker."""
+    q = _linkable(spark, d).join(_kb(spark, d).concepts.select("cidx", "concept_type"), "cidx")
+    where = F.when(F.col("concept_type") == "DIS", "mapper").when(F.col("concept_type") == "SS", "service").otherwise("none")
+    q = q.select("id", "text", where.alias("terminology")).unionByName(_queries_of_events(spark, d).select("id", "text", F.lit("rules").alias("terminology")))
+    linkers = {"mapper": link.CapturedLinker(_captured_outputs(spark, d), 800), "service": link.AnnotatorLinker(_service_answers(spark, d)), "rules": link.RuleLinker()}
+    return link.route(q, linkers).select("id", "terminology", "matched", "code", "score")
+
+
+def _rewritten(spark: SparkSession, d: str) -> model.KB:
+    return link.rewrite(_kb(spark, d), *_exact_links(spark, d))
+
+
+def _union(spark: SparkSession, d: str) -> model.KB:
+    return pipelines.resolve_kb(_kb(spark, d), _ordered_pairs(spark, d))
+
+
 def _metathesaurus(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """Reference terms as a metathesaurus, extended by the knowledge base."""
     refs = runtime.table(spark, d, "reference_terms")
@@ -199,14 +244,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_synonyms": nested.p2_synonyms,
     "p7_found": units.p7_found,
     "kb_concepts": _statement("concepts"),
-    "kb_atoms": lambda s, d: _kb(s, d).atoms.drop("attrs"),
+    "kb_atoms": lambda s, d: _kb(s, d).atoms.withColumn("linked_string", F.try_element_at("attrs", F.lit("linked_string"))).drop("attrs"),
     "kb_attributes": _statement("attributes"),
     "kb_rel_attributes": _statement("rel_attributes"),
     "kb_relationships": _statement("relationships"),
     "product_records": lambda s, d: runtime.table(s, d, "events").select("event_id", F.get_json_object("props", "$.page").alias("page"), F.get_json_object("props", "$.k").alias("k")),
     "find_connections": lambda s, d: resolve.find_connections(runtime.durable(resolve.typed_terms(_kb(s, d)))),
     "connection_classes": lambda s, d: resolve.classes(resolve.typed_terms(_kb(s, d))),
-    "find_connections_parts": lambda s, d: resolve.find_connections(runtime.durable(runtime.table(s, d, "part").select(F.col("p_partkey").alias("cidx"), F.concat("p_type", F.lit("/"), "p_brand").alias("concept_type"), F.lower("p_name").alias("term_lc")).distinct())),
     "connection_stars_docs": lambda s, d: resolve.stars(doc_terms(s, d)),
     "components_docs": lambda s, d: _doc_components(s, d).select(F.col("v").alias("doc_id"), F.col("root").alias("component")),
     "intersection_docs": lambda s, d: resolve.intersection(_doc_components(s, d)),
@@ -216,19 +260,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merged_atoms": lambda s, d: _merged(s, d).atoms.drop("attrs"),
     "merged_attributes": lambda s, d: _merged(s, d).attributes,
     "repointed_relationships": lambda s, d: _merged(s, d).relationships,
+    "merged_concepts": lambda s, d: _merged(s, d).concepts,
+    "union_atoms": lambda s, d: _union(s, d).atoms.drop("attrs"),
+    "intersection_atoms": lambda s, d: resolve.intersection_kb(_kb(s, d), _roots(s, d)).atoms.select("cidx", "pos", "term", "src"),
+    "intersection_concepts": lambda s, d: resolve.intersection_kb(_kb(s, d), _roots(s, d)).concepts.select("cidx", "ui", "prefix", "concept_type"),
+    "difference_relationships": lambda s, d: resolve.difference_kb(_kb(s, d), _roots(s, d)).relationships.select("cidx", "rel_name", "object_ui", "src"),
+    "removed_elements": lambda s, d: quality.remove_elements(_kb(s, d).atoms, _kb(s, d).atoms.where("src = 'MSKCC' and is_preferred"), ["cidx", "term_lc", "src", "src_id", "term_type"]).select("cidx", "pos"),
     "merged_source_ids": lambda s, d: resolve.merge_by_source_id(_kb(s, d), resolve.preferred_atoms(_kb(s, d), _ranks(s, d))),
     "preferred_atoms": lambda s, d: resolve.preferred_atoms(_kb(s, d), _ranks(s, d)).select("cidx", "pos", "term"),
-    "atoms_by_name": lambda s, d: _kb(s, d).atoms.where("term = 'L-belforamate'").select("cidx", "pos", "src", "src_id"),
+    "atoms_by_name": lambda s, d: quality.atoms_named(_kb(s, d), quality.shared_name(_kb(s, d))).select("cidx", "pos", "term", "src", "src_id"),
     "attributes_by_name": lambda s, d: _kb(s, d).attributes.where("atr_name = 'source_material'"),
     "relationships_by_name": lambda s, d: _kb(s, d).relationships.where("rel_name = 'INTERACTS_WITH'"),
     "atom_counts": lambda s, d: _kb(s, d).atoms.groupBy("cidx").agg(F.count(F.lit(1)).alias("n")),
     "resolve_objects": lambda s, d: resolve.resolve_objects(_kb(s, d)),
-    "dangling_objects": lambda s, d: resolve.resolve_objects(_kb(s, d)).where("object_cidx is null").groupBy("object_ui").agg(F.count(F.lit(1)).alias("n")),
+    "dangling_objects": lambda s, d: resolve.resolve_objects(_of_type(_kb(s, d), "SDSI")).where("object_cidx is null").groupBy("object_ui").agg(F.count(F.lit(1)).alias("n")),
     "dedupe_first_wins": lambda s, d: resolve.first_wins(_kb(s, d).atoms, ["cidx", "term_lc", "src", "src_id", "term_type"], ["pos"]).select("cidx", "pos"),
     "surrogate_ids": lambda s, d: resolve.surrogate_ids(_nhp(s, d), "proper_name", "row_id"),
     "vocabulary_breaches": lambda s, d: quality.vocabulary_breaches(_kb(s, d), model.SOURCES, model.TERM_TYPES, model.CONCEPT_TYPES),
-    "filter_pairs_basic": lambda s, d: pairs.filter_basic(_kb(s, d), _ordered_pairs(s, d), ["DSP"]),
-    "filter_pairs_basic_symmetric": lambda s, d: pairs.filter_basic(_kb(s, d), _ordered_pairs(s, d), ["DSP"], symmetric=True),
+    "filter_pairs_basic": lambda s, d: pairs.filter_basic(_kb(s, d), _ordered_pairs(s, d), ["SS", "PD"]),
+    "filter_pairs_basic_symmetric": lambda s, d: pairs.filter_basic(_kb(s, d), _ordered_pairs(s, d), ["SS", "PD"], symmetric=True),
     "linked_idf": lambda s, d: pairs.linked_idf(_kb(s, d)).select("src_id", F.round("idf", 9).alias("idf")),
     "filter_pairs_idf": lambda s, d: pairs.filter_idf(_kb(s, d), _ordered_pairs(s, d)),
     "filter_pairs_annotated": lambda s, d: pairs.filter_annotated(_ordered_pairs(s, d), _annotations(s, d)),
@@ -244,6 +294,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "atom_count_stats": lambda s, d: _rounded(quality.statistics(quality.atoms_per_concept(_kb(s, d)), "n")),
     "atom_count_extremes": lambda s, d: quality.extremes(quality.atoms_per_concept(_kb(s, d)), "cidx", "n"),
     "linked_code_stats": lambda s, d: _rounded(quality.statistics(quality.codes_per_concept(_kb(s, d)), "n")),
+    "linked_code_ratio": lambda s, d: quality.code_ratio(_kb(s, d)).select("codes", "concepts", F.round("ratio", 6).alias("ratio")),
     "rel_counts": lambda s, d: quality.relationship_counts(_kb(s, d)),
     "attr_counts": lambda s, d: quality.attribute_counts(_kb(s, d)),
     "invalid_names": lambda s, d: _nhp(s, d).where(text.invalid_name(F.col("potency_amount"))).groupBy("potency_amount").agg(F.count(F.lit(1)).alias("n")),
@@ -267,16 +318,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "link_rules_best": lambda s, d: link.RuleLinker().best(link.RuleLinker().link(_queries_of_events(s, d))).select("id", "matched", "code"),
     "linkables": _linkable,
     "dictionary_link": lambda s, d: _dictionary(s, d).best(_dictionary(s, d).link(_linkable(s, d).where("terminology = 'umls.dictionary'").select("id", "text"))).select("id", "matched", "term", "code", F.round("score", 9).alias("score")),
-    "rewritten_concepts": lambda s, d: link.rewrite(_kb(s, d), *_exact_links(s, d)).concepts.groupBy("concept_type").agg(F.count(F.lit(1)).alias("n")),
-    "rewritten_relationships": lambda s, d: link.rewrite(_kb(s, d), *_exact_links(s, d)).relationships.groupBy("rel_name").agg(F.count(F.lit(1)).alias("n")),
+    "captured_links": lambda s, d: link.CapturedLinker(_captured_outputs(s, d), 800, ["DIS", "SS"]).link(_linkable(s, d)).select("id", "matched", "term", "code", "score"),
+    "captured_links_best": lambda s, d: (lambda k: k.best(k.link(_linkable(s, d)), 2))(link.CapturedLinker(_captured_outputs(s, d), 800)).select("id", "matched", "code", "score"),
+    "annotator_links": lambda s, d: (lambda k: k.best(k.link(_linkable(s, d))))(link.AnnotatorLinker(_service_answers(s, d))).select("id", "matched", "term", "code"),
+    "routed_links": _routed,
+    "rewritten_concepts": lambda s, d: _rewritten(s, d).concepts,
+    "rewritten_atoms": lambda s, d: _rewritten(s, d).atoms.select("cidx", "pos", "term", "src", "src_id", "term_type", "is_preferred", "linking_score", F.try_element_at("attrs", F.lit("linked_string")).alias("linked_string")),
+    "rewritten_attributes": lambda s, d: _rewritten(s, d).attributes,
+    "rewritten_relationships": lambda s, d: _rewritten(s, d).relationships,
     "rrf_mrsty": _rrf("MRSTY"),
     "rrf_mrconso": _rrf("MRCONSO"),
     "rrf_mrsat": _rrf("MRSAT"),
     "rrf_mrrel": _rrf("MRREL"),
     "graph_nodes": _graph(0),
     "graph_edges": _graph(1),
-    "mth_conso": lambda s, d: _metathesaurus(s, d)["MRCONSO"].select("CUI", "AUI", "SAB", "STR"),
-    "mth_semtypes": lambda s, d: _metathesaurus(s, d)["MRSTY"].select("CUI", "TUI"),
+    "mth_conso": lambda s, d: _metathesaurus(s, d)["MRCONSO"],
+    "mth_semtypes": lambda s, d: _metathesaurus(s, d)["MRSTY"],
     "mth_new_cuis": lambda s, d: _metathesaurus(s, d)["new"],
     "mth_source_row": lambda s, d: export.source_summary(_kb(s, d), "TLKB", "1.0.1"),
     "mth_rank": lambda s, d: export.rank_table(_ranks(s, d).select(F.format_string("%04d", F.col("src_rank").cast("int")).alias("rank"), F.col("src").alias("SAB"), F.lit("PT").alias("TTY"), F.lit("N").alias("suppress")), "TLKB"),

@@ -100,6 +100,32 @@ def remove_source(kb: KB, source: str, types: Sequence[str] = (), cascade: bool
     return KB(concepts, keep(atoms), keep(left(kb.attributes)), left(kb.rel_attributes).join(rels.select("cidx", "ridx"), ["cidx", "ridx"], "left_semi"), rels)
 
 
+def remove_elements(table: DataFrame, gone: DataFrame, keys: Sequence[str], strict: bool = True) -> DataFrame:
+    """``table`` without the elements whose ``keys`` are in ``gone``; if one of those is absent, ``strict`` refuses.
+
+    Null keys are equal to null; repeated keys in ``gone`` count once.
+    """
+    gone = gone.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+    same = None
+    for k in keys:
+        here = F.col(k).eqNullSafe(F.col(f"__{k}"))
+        same = here if same is None else same & here
+    if strict and (absent := gone.join(table.select(*keys).distinct(), same, "left_anti").count()):
+        raise KeyError(f"{absent} elements to remove are not there")
+    return table.join(gone, same, "left_anti")
+
+
+def atoms_named(kb: KB, names: DataFrame) -> DataFrame:
+    """The atoms whose term is, letter for letter, one of ``names`` (``term``)."""
+    return kb.atoms.join(names.select("term").distinct(), "term", "left_semi")
+
+
+def shared_name(kb: KB) -> DataFrame:
+    """``term``: the first, by letters, of the terms that most concepts have."""
+    often = kb.atoms.groupBy("term").agg(F.countDistinct("cidx").alias("n"))
+    return often.orderBy(F.desc("n"), "term").limit(1).select("term")
+
+
 def concept_count(kb: KB) -> DataFrame:
     return kb.concepts.agg(F.countDistinct("ui").alias("n"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -13,6 +13,8 @@ from termloom.model import KB
 
 #: Components of up to this many links that merge replay the source pipeline's merge order; larger ones take the closed form.
 REPLAY_LINKS = 250_000
+#: Links that one task joins to components at once.
+ONE_TASK_LINKS = 1_000_000
 #: Links that one task looks through for those that merge; several times REPLAY_LINKS, so that each round leaves far fewer.
 FOREST_LINKS = 1_000_000
 
@@ -30,57 +32,83 @@ def classes(terms: DataFrame) -> DataFrame:
     return sets.join(least, ["concept_type", "terms"]).select("cidx", "rep")
 
 
+def _keyed(terms: DataFrame) -> DataFrame:
+    return terms.withColumn("key", F.xxhash64("concept_type", "term_lc"))
+
+
 def find_connections(terms: DataFrame) -> DataFrame:
     """``i, j``: pairs of classes (see ``classes``) of one type that share a term, i < j.
 
     An equi-join on (type, term) in place of a loop over all pairs. Equal
     concepts are collapsed before, so copies are not expanded into pairs; a
-    concept's class is in ``classes``. An empty table gives no rows.
+    concept's class is in ``classes``. A term that many classes share is spread
+    over tasks. An empty table gives no rows.
     """
     reps = classes(terms)
-    own = runtime.durable(terms.join(reps.where("cidx = rep").select("cidx"), "cidx"))
-    other = own.select(F.col("cidx").alias("j"), "concept_type", "term_lc")
-    pairs = own.select(F.col("cidx").alias("i"), "concept_type", "term_lc").join(other, ["concept_type", "term_lc"])
-    return pairs.where("i < j").select("i", "j").distinct()
+    own = runtime.durable(_keyed(terms.join(reps.where("cidx = rep").select("cidx"), "cidx")))
+    other = own.select(F.col("cidx").alias("j"), F.col("concept_type").alias("other_type"), F.col("term_lc").alias("other_term"), "key")
+    pairs = runtime.lookup(own.withColumnRenamed("cidx", "i"), other, "key", F.col("i"), runtime.hot_keys(own, "key"), "inner")
+    return pairs.where("i < j and term_lc = other_term and concept_type <=> other_type").select("i", "j").distinct()
 
 
 def stars(terms: DataFrame) -> DataFrame:
     """``i, j``: for every (type, term) a link from its least concept to each other one: as connected as all pairs, but linear."""
-    hubs = terms.groupBy("concept_type", "term_lc").agg(F.min("cidx").alias("i"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return terms.join(hubs, ["concept_type", "term_lc"]).where("cidx <> i").select("i", F.col("cidx").alias("j")).distinct()
+    keyed = _keyed(terms)
+    hubs = keyed.groupBy("key", F.col("concept_type").alias("hub_type"), F.col("term_lc").alias("hub_term")).agg(F.min("cidx").alias("i"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    met = runtime.lookup(keyed, hubs, "key", F.col("cidx"), runtime.hot_keys(keyed, "key"), "inner")
+    return met.where("cidx <> i and term_lc = hub_term and concept_type <=> hub_type").select("i", F.col("cidx").alias("j")).distinct()
+
 
+def _whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Roots of a graph that one task holds."""
+    parent: dict[int, int] = {}
+    for batch in batches:
+        for a, b in zip(batch["u"].tolist(), batch["v"].tolist()):
+            a, b = _find(parent, parent.setdefault(a, a)), _find(parent, parent.setdefault(b, b))
+            parent[max(a, b)] = min(a, b)
+    yield pd.DataFrame({"v": pd.array(list(parent), dtype="int64"), "root": pd.array([_find(parent, x) for x in parent], dtype="int64")})
 
-def components(edges: DataFrame) -> DataFrame:
+
+def components(edges: DataFrame, one_task: int = ONE_TASK_LINKS) -> DataFrame:
     """``v, root``: every vertex of ``edges (i, j)`` and the least vertex of its component.
 
     Alternating large-star and small-star steps (Kiveris et al., 2014): after
-    O(log n) rounds every vertex hangs on its component's least one. Edges with
-    a null end are ignored; a vertex with only self-loops is its own component.
+    O(log n) rounds every vertex hangs on its component's least one. Graphs of
+    up to ``one_task`` links are joined in one task, with the same result.
+    Edges with a null end are ignored; a vertex with only self-loops is its own
+    component.
     """
-    e = edges.select("i", "j").where("i is not null and j is not null")
-    loops = e.where("i = j").select(F.col("i").alias("v")).distinct()
-    now = runtime.durable(e.where("i <> j").select(F.greatest("i", "j").alias("u"), F.least("i", "j").alias("v")).distinct())
+    e = edges.select(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j")).where("i is not null and j is not null")
+    ends = runtime.durable(e.select(F.greatest("i", "j").alias("u"), F.least("i", "j").alias("v")).distinct())
+    loops = ends.where("u = v").select("v")
+    now = ends.where("u <> v")
 
     def mark(d: DataFrame) -> tuple:
         r = d.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         return r[0], r[1]
 
     last = mark(now)
-    while last[0]:
-        both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        hot = runtime.hot_keys(both, "u")
-        large = runtime.lookup(both, low, "u", F.col("v"), hot, "inner").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        now = runtime.durable(small)
-        mine = mark(now)
-        if mine == last:
-            break
-        last = mine
-    roots = now.select(F.col("v").alias("root")).distinct()
-    named = now.select(F.col("u").alias("v"), F.col("v").alias("root")).unionByName(roots.select(F.col("root").alias("v"), "root"))
+    if last[0] <= one_task:
+        named = runtime.durable(now.coalesce(1).mapInPandas(_whole, "v bigint, root bigint"))
+    else:
+        kept = None
+        while True:
+            both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+            hot = runtime.hot_keys(both, "u", 2 * last[0])
+            large = runtime.lookup(both, low, "u", F.col("v"), hot, "inner").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            low = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = large.join(low, "u")
+            small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+            now = runtime.durable(small)
+            if kept is not None:
+                runtime.drop(kept)
+            kept, mine = now, mark(now)
+            if mine == last:
+                break
+            last = mine
+        roots = now.select(F.col("v").alias("root")).distinct()
+        named = now.select(F.col("u").alias("v"), F.col("v").alias("root")).unionByName(roots.select(F.col("root").alias("v"), "root"))
     alone = loops.join(named.select("v"), "v", "left_anti")
     return named.unionByName(alone.select("v", F.col("v").alias("root")))
 
@@ -188,7 +216,11 @@ def merge(kb: KB, roots: DataFrame, dedupe: bool = False) -> KB:
     Attributes of a relationship stay with the kept relationship.
     """
     r = runtime.durable(roots)
-    concepts = kb.concepts.join(r.where("cidx = root").select("cidx"), "cidx", "left_semi")
+    # a merged concept's prefix joins the parts of its members' prefixes
+    parts = runtime.lookup(kb.concepts.select("cidx", "prefix"), r, "cidx", F.col("cidx"), [], "inner").select("root", F.explode(F.split("prefix", "_")).alias("part")).distinct()
+    joined = parts.groupBy("root").agg(F.array_join(F.array_sort(F.collect_set("part")), "_").alias("joined"))
+    concepts = kb.concepts.join(joined.withColumnRenamed("root", "cidx"), "cidx", "left").join(r.where("cidx = root").select("cidx"), "cidx", "left_semi")
+    concepts = concepts.select("cidx", "ui", F.coalesce("joined", "prefix").alias("prefix"), "num", "concept_type")
 
     def under(df: DataFrame) -> DataFrame:
         hot = runtime.hot_keys(df, "cidx")
@@ -228,6 +260,24 @@ def difference(roots: DataFrame) -> DataFrame:
     return roots.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("root")
 
 
+def _only(kb: KB, kept: DataFrame) -> KB:
+    """What of a knowledge base belongs to the concepts ``cidx`` of ``kept``."""
+    kept = runtime.durable(kept)
+    return kb.map(lambda _, df: df.join(kept, "cidx", "left_semi"))
+
+
+def intersection_kb(kb: KB, roots: DataFrame, dedupe: bool = False) -> KB:
+    """The merged concepts of groups of two or more."""
+    r = runtime.durable(roots)
+    return _only(merge(kb, r, dedupe), intersection(r).select(F.col("root").alias("cidx")))
+
+
+def difference_kb(kb: KB, roots: DataFrame) -> KB:
+    """The concepts that matched no other; their relationships lead to the merged concepts."""
+    r = runtime.durable(roots)
+    return _only(merge(kb, r), difference(r).select(F.col("root").alias("cidx")))
+
+
 def preferred_atoms(kb: KB, ranks: DataFrame) -> DataFrame:
     """Every concept's preferred atom: among preferred ones (else all) that of the best-ranked source, then the first.
 

@@ -24,7 +24,7 @@ ee AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
 reach(v, o) AS (SELECT u, u FROM ee UNION SELECT r.v, x.v FROM reach r JOIN ee x ON x.u = r.o),
 roots AS (SELECT c.cidx, coalesce(m.root, c.cidx) AS root FROM concepts c LEFT JOIN (SELECT v, min(o) AS root FROM reach GROUP BY v) m ON m.v = c.cidx)"""
 _DOCS = """dt AS (SELECT DISTINCT doc_id AS cidx, coalesce(lang, '') AS concept_type, lower(trim(l)) AS term_lc
-  FROM (SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS l FROM documents WHERE text IS NOT NULL) WHERE length(trim(l)) > 20),
+  FROM (SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS l FROM documents WHERE text IS NOT NULL) WHERE trim(l) <> ''),
 hub AS (SELECT concept_type, term_lc, min(cidx) AS i FROM dt GROUP BY ALL HAVING count(*) > 1),
 st AS (SELECT DISTINCT h.i, d.cidx AS j FROM dt d JOIN hub h USING (concept_type, term_lc) WHERE d.cidx <> h.i)"""
 _DCOMP = """ee AS (SELECT i AS u, j AS v FROM st UNION SELECT j, i FROM st),
@@ -200,9 +200,33 @@ fatoms AS (SELECT cidx, '0' AS src_id, term, term_type, is_preferred, row_number
 fattrs AS (SELECT cidx, 0 AS pos, 'background' AS atr_name, v AS atr_value FROM (SELECT hc.cidx, {_SQUEEZE.format("string_agg(atr_value, ' ' ORDER BY pos)")} AS v FROM attrs JOIN hc ON hc.page = attrs.cidx WHERE atr_value IS NOT NULL AND {_VALID.format(_STRIP.format('atr_value'))} GROUP BY hc.cidx) WHERE {_VALID.format('v')}),
 frels AS (SELECT hc.cidx, row_number() OVER (PARTITION BY hc.cidx ORDER BY place, a, b) AS pos, CASE place WHEN 6 THEN 'is_effective_for' WHEN 7 THEN 'has_adverse_reaction' ELSE 'interacts_with' END AS rel_name, con.ui AS object_ui FROM con JOIN hc USING (page) WHERE last = 0)"""
 
+_PREFIX = "pf AS (SELECT root AS cidx, string_agg(DISTINCT x, '_' ORDER BY x) AS prefix FROM (SELECT root, unnest(string_split(prefix, '_')) AS x FROM concepts JOIN roots USING (cidx)) GROUP BY root)"
+_PROPS = """props AS (SELECT cidx, string_agg(atr_name || '=' || v, '; ' ORDER BY atr_name) FILTER (WHERE v IS NOT NULL) AS properties FROM (SELECT cidx, atr_name, arg_max(atr_value, pos) AS v FROM attrs WHERE atr_name IS NOT NULL GROUP BY ALL) GROUP BY cidx),
+rprops AS (SELECT cidx, ridx, string_agg(atr_name || '=' || v, '; ' ORDER BY atr_name) FILTER (WHERE v IS NOT NULL) AS properties FROM (SELECT cidx, ridx, atr_name, arg_max(atr_value, pos) AS v FROM rattrs WHERE atr_name IS NOT NULL GROUP BY ALL) GROUP BY cidx, ridx)"""
+# the merge order replayed link by link: every concept's root and, per root, the distinct atoms under it
+_REPLAY = """lk0 AS (SELECT i, j, row_number() OVER (ORDER BY i, j) AS k FROM cpairs WHERE i IN (SELECT cidx FROM ingredients) AND j IN (SELECT cidx FROM ingredients)),
+vs AS (SELECT v, row_number() OVER (ORDER BY v) AS slot FROM (SELECT i AS v FROM lk0 UNION SELECT j FROM lk0)),
+links0 AS (SELECT k, a.slot AS a, b.slot AS b FROM lk0 JOIN vs a ON a.v = i JOIN vs b ON b.v = j),
+aid AS (SELECT DISTINCT cidx, dense_rank() OVER (ORDER BY term_lc, src, src_id, term_type) AS x FROM (SELECT cidx, term_lc, coalesce(src, '') AS src, coalesce(src_id, '') AS src_id, coalesce(term_type, '') AS term_type FROM atoms)),
+own AS (SELECT slot, coalesce(list(x) FILTER (WHERE x IS NOT NULL), []) AS l FROM vs LEFT JOIN aid ON aid.cidx = vs.v GROUP BY slot),
+st(k, p, s) AS (SELECT 0::BIGINT, (SELECT list(slot ORDER BY slot) FROM vs), (SELECT list(l ORDER BY slot) FROM own)
+  UNION ALL SELECT n.k, CASE WHEN f = g THEN p ELSE list_transform(p, lambda x: CASE WHEN x = lose THEN win ELSE x END) END,
+    CASE WHEN f = g THEN s ELSE list_transform(s, lambda l, i: CASE WHEN i = win THEN list_distinct(list_concat(l, s[lose])) ELSE l END) END
+  FROM (SELECT l.k, p, s, p[l.a] AS f, p[l.b] AS g, CASE WHEN len(s[p[l.b]]) > len(s[p[l.a]]) THEN p[l.b] ELSE p[l.a] END AS win, CASE WHEN len(s[p[l.b]]) > len(s[p[l.a]]) THEN p[l.a] ELSE p[l.b] END AS lose FROM st JOIN links0 l ON l.k = st.k + 1) n),
+fin AS (SELECT unnest(p) AS r, generate_subscripts(p, 1) AS slot FROM (SELECT p FROM st ORDER BY k DESC LIMIT 1)),
+roots AS (SELECT c.cidx, coalesce(m.root, c.cidx) AS root FROM concepts c LEFT JOIN (SELECT a.v, b.v AS root FROM fin JOIN vs a USING (slot) JOIN vs b ON b.slot = fin.r) m ON m.v = c.cidx)"""
+_CAPTURED = _LINKABLE + """, cap AS (SELECT l.id, l.text AS matched, r.ref_id, r.ref_term AS term, printf('C%07d', r.ref_id) AS code, r.concept_type AS st, (700 + (r.ref_id * 37) % 300)::DOUBLE AS score
+  FROM lk l JOIN reference_terms r ON lower(substr(l.text, 1, 1)) = substr(r.ref_term, 1, 1) AND length(l.text) = length(r.ref_term)),
+svc AS (SELECT id, matched, at0, r.ref_term AS term, printf('C%07d', r.ref_id) AS code FROM (SELECT id, unnest(string_split(lower(text), ' ')) AS matched, generate_subscripts(string_split(text, ' '), 1) AS at0 FROM lk) w JOIN reference_terms r ON split_part(r.ref_term, ' ', 1) = w.matched)"""
+_NEW = """hi AS (SELECT max(cidx) AS c, max(num) AS n FROM concepts),
+nw AS (SELECT old, text, row_number() OVER (ORDER BY old) - 1 AS off, (SELECT c FROM hi) + row_number() OVER (ORDER BY old) AS cidx, (SELECT n FROM hi) + row_number() OVER (ORDER BY old) AS num FROM cl),
+gone AS (SELECT cidx FROM lk),
+ncon AS (SELECT nw.cidx, printf('%s%07d', c.prefix, nw.num) AS ui, c.prefix, nw.num, c.concept_type, nw.old, c.ui AS old_ui FROM nw JOIN concepts c ON c.cidx = nw.old),
+cand AS (SELECT DISTINCT nw.cidx, r.ref_term AS term, printf('C%07d', r.ref_id) AS code, r.concept_type AS st, nw.text FROM nw JOIN reference_terms r ON r.ref_term = lower(nw.text))"""
+
 SQL: dict[str, str] = {
     "kb_concepts": _with("SELECT * FROM concepts", _KB),
-    "kb_atoms": _with("SELECT * FROM atoms", _KB),
+    "kb_atoms": _with("SELECT a.*, x.s.linked_string AS linked_string FROM atoms a JOIN atoms_ x USING (cidx, pos)", _KB),
     "kb_attributes": _with("SELECT * FROM attrs", _KB),
     "kb_rel_attributes": _with("SELECT * FROM rattrs", _KB),
     "kb_relationships": _with("SELECT * FROM rels", _KB),
@@ -214,7 +238,6 @@ SQL: dict[str, str] = {
         "cls AS (SELECT cidx, min(cidx) OVER (PARTITION BY concept_type, ts) AS rep FROM (SELECT a.cidx, c.concept_type, list_sort(list(DISTINCT term_lc)) AS ts FROM atoms a JOIN concepts c USING (cidx) GROUP BY ALL))",
         "t AS (SELECT DISTINCT a.cidx, c.concept_type, term_lc FROM atoms a JOIN concepts c USING (cidx) JOIN cls ON cls.cidx = a.cidx AND cls.rep = a.cidx)",
     ),
-    "find_connections_parts": "WITH t AS (SELECT p_partkey AS cidx, p_type || '/' || p_brand AS ct, lower(p_name) AS n FROM part), r AS (SELECT min(cidx) AS cidx, ct, n FROM t GROUP BY ct, n) SELECT a.cidx AS i, b.cidx AS j FROM r a JOIN r b USING (ct, n) WHERE a.cidx < b.cidx",
     "connection_stars_docs": _with("SELECT i, j FROM st", _DOCS),
     "components_docs": _with("SELECT v AS doc_id, root AS component FROM comp", _DOCS, _DCOMP, recursive=True),
     "intersection_docs": _with("SELECT root, count(*) AS n FROM comp GROUP BY root HAVING count(*) > 1", _DOCS, _DCOMP, recursive=True),
@@ -234,14 +257,34 @@ SQL: dict[str, str] = {
         "firstui AS (SELECT ui, min(cidx) AS cidx FROM concepts GROUP BY ui)",
         "t AS (SELECT f.ui, c.ui AS root_ui FROM firstui f JOIN roots r USING (cidx) JOIN firstui c ON c.cidx = r.root)", recursive=True,
     ),
+    "union_roots": _with("SELECT cidx, root FROM roots", _KB, _PAIRS, _REPLAY, recursive=True),
+    "union_atoms": _with(
+        "SELECT root AS cidx, (row_number() OVER (PARTITION BY root ORDER BY later, cidx, pos) - 1)::INT AS pos, term, term_lc, src, src_id, term_type, is_preferred, linking_score FROM m",
+        _KB, _PAIRS, _REPLAY, f"m AS ({_merged('atoms', 'term_lc, src, src_id, term_type', 'pos', '')})", recursive=True,
+    ),
+    "merged_concepts": _with("SELECT cidx, ui, coalesce(p.prefix, c.prefix) AS prefix, num, concept_type FROM concepts c LEFT JOIN pf p USING (cidx) WHERE cidx IN (SELECT root FROM roots)", _KB, _PAIRS, _ROOTS, _PREFIX, recursive=True),
+    "intersection_atoms": _with(
+        "SELECT root AS cidx, (row_number() OVER (PARTITION BY root ORDER BY later, cidx, pos) - 1)::INT AS pos, term, src FROM m WHERE root IN (SELECT root FROM roots GROUP BY root HAVING count(*) > 1)",
+        _KB, _PAIRS, _ROOTS, f"m AS ({_merged('atoms', 'term_lc, src, src_id, term_type', 'pos', '')})", recursive=True,
+    ),
+    "intersection_concepts": _with("SELECT cidx, ui, coalesce(p.prefix, c.prefix) AS prefix, concept_type FROM concepts c LEFT JOIN pf p USING (cidx) WHERE cidx IN (SELECT root FROM roots GROUP BY root HAVING count(*) > 1)", _KB, _PAIRS, _ROOTS, _PREFIX, recursive=True),
+    "difference_relationships": _with(
+        "SELECT m.root AS cidx, rel_name, coalesce(t.root_ui, object_ui) AS object_ui, src FROM m LEFT JOIN t ON t.ui = m.object_ui WHERE m.root IN (SELECT root FROM roots GROUP BY root HAVING count(*) = 1)",
+        _KB, _PAIRS, _ROOTS, f"m AS ({_merged('rels', 'rel_name, object_ui, src', 'ridx', '')})",
+        "firstui AS (SELECT ui, min(cidx) AS cidx FROM concepts GROUP BY ui)",
+        "t AS (SELECT f.ui, c.ui AS root_ui FROM firstui f JOIN roots r USING (cidx) JOIN firstui c ON c.cidx = r.root)", recursive=True,
+    ),
+    "removed_elements": _with(
+        "SELECT cidx, pos FROM atoms a WHERE NOT EXISTS (SELECT 1 FROM atoms b WHERE b.src = 'MSKCC' AND b.is_preferred AND b.cidx = a.cidx AND b.term_lc = a.term_lc AND b.src = a.src AND b.src_id IS NOT DISTINCT FROM a.src_id AND b.term_type IS NOT DISTINCT FROM a.term_type)", _KB
+    ),
     "merged_source_ids": _with("SELECT cidx, CASE WHEN src_id IS NULL THEN cidx ELSE min(cidx) OVER (PARTITION BY src_id) END AS root FROM pref", _KB, _PREF),
     "preferred_atoms": _with("SELECT cidx, pos, term FROM pref", _KB, _PREF),
-    "atoms_by_name": _with("SELECT cidx, pos, src, src_id FROM atoms WHERE term = 'L-belforamate'", _KB),
+    "atoms_by_name": _with("SELECT cidx, pos, term, src, src_id FROM atoms WHERE term = (SELECT term FROM atoms GROUP BY term ORDER BY count(DISTINCT cidx) DESC, term LIMIT 1)", _KB),
     "attributes_by_name": _with("SELECT * FROM attrs WHERE atr_name = 'source_material'", _KB),
     "relationships_by_name": _with("SELECT * FROM rels WHERE rel_name = 'INTERACTS_WITH'", _KB),
     "atom_counts": _with("SELECT cidx, count(*) AS n FROM atoms GROUP BY cidx", _KB),
     "resolve_objects": _with("SELECT * FROM ro", _KB, _IDS),
-    "dangling_objects": _with("SELECT object_ui, count(*) AS n FROM ro WHERE object_cidx IS NULL GROUP BY object_ui", _KB, _IDS),
+    "dangling_objects": _with("SELECT object_ui, count(*) AS n FROM rels WHERE object_ui NOT IN (SELECT ui FROM concepts WHERE concept_type = 'SDSI' AND ui IS NOT NULL) GROUP BY object_ui", _KB),
     "dedupe_first_wins": _with("SELECT cidx, min(pos) AS pos FROM atoms GROUP BY cidx, term_lc, src, src_id, term_type", _KB),
     "surrogate_ids": "SELECT proper_name, printf('%04d', row_number() OVER (ORDER BY f)) AS id FROM (SELECT proper_name, min(row_id) AS f FROM nhp_medicinal_ingredients WHERE proper_name IS NOT NULL GROUP BY proper_name)",
     "vocabulary_breaches": _with(
@@ -249,11 +292,11 @@ SQL: dict[str, str] = {
         _KB,
     ),
     "filter_pairs_basic": _with(
-        "SELECT p.i, p.j FROM cpairs p JOIN sets a ON a.cidx = p.i JOIN sets b ON b.cidx = p.j WHERE coalesce(a.t, '') <> 'DSP' AND CASE WHEN len(a.li) = 0 OR len(b.li) = 0 THEN len(list_intersect(a.al, b.pl)) > 0 OR len(b.pl) > 0 ELSE len(list_intersect(a.li, b.li)) >= least(len(a.li), len(b.li)) END",
+        "SELECT p.i, p.j FROM cpairs p JOIN sets a ON a.cidx = p.i JOIN sets b ON b.cidx = p.j WHERE coalesce(a.t, '') NOT IN ('SS', 'PD') AND CASE WHEN len(a.li) = 0 OR len(b.li) = 0 THEN len(list_intersect(a.al, b.pl)) > 0 OR len(b.pl) > 0 ELSE len(list_intersect(a.li, b.li)) >= least(len(a.li), len(b.li)) END",
         _KB, _PAIRS, _IDF, _SETS,
     ),
     "filter_pairs_basic_symmetric": _with(
-        "SELECT p.i, p.j FROM cpairs p JOIN sets a ON a.cidx = p.i JOIN sets b ON b.cidx = p.j WHERE coalesce(a.t, '') <> 'DSP' AND CASE WHEN len(a.li) = 0 OR len(b.li) = 0 THEN len(list_intersect(a.al, b.pl)) > 0 OR len(list_intersect(b.al, a.pl)) > 0 ELSE len(list_intersect(a.li, b.li)) >= least(len(a.li), len(b.li)) END",
+        "SELECT p.i, p.j FROM cpairs p JOIN sets a ON a.cidx = p.i JOIN sets b ON b.cidx = p.j WHERE coalesce(a.t, '') NOT IN ('SS', 'PD') AND CASE WHEN len(a.li) = 0 OR len(b.li) = 0 THEN len(list_intersect(a.al, b.pl)) > 0 OR len(list_intersect(b.al, a.pl)) > 0 ELSE len(list_intersect(a.li, b.li)) >= least(len(a.li), len(b.li)) END",
         _KB, _PAIRS, _IDF, _SETS,
     ),
     "linked_idf": _with("SELECT src_id, round(idf, 9) AS idf FROM idf", _KB, _IDF),
@@ -283,6 +326,7 @@ SQL: dict[str, str] = {
     "atom_count_stats": _with(_stats(_PER), _KB),
     "atom_count_extremes": _with("(SELECT 'low' AS side, cidx, n FROM per ORDER BY n, cidx LIMIT 3) UNION ALL (SELECT 'high', cidx, n FROM per ORDER BY n DESC, cidx DESC LIMIT 3)", _KB, f"per AS ({_PER})"),
     "linked_code_stats": _with(_stats(_CODES), _KB),
+    "linked_code_ratio": _with("SELECT count(DISTINCT src_id) AS codes, count(DISTINCT cidx) AS concepts, round(count(DISTINCT src_id) / nullif(count(DISTINCT cidx), 0), 6) AS ratio FROM atoms WHERE src = 'UMLS' AND cidx IN (SELECT cidx FROM concepts WHERE concept_type = 'SDSI')", _KB),
     "rel_counts": _with("SELECT rel_name, src, count(*) AS n, grouping(rel_name, src)::BIGINT AS level FROM rels GROUP BY ROLLUP (rel_name, src)", _KB),
     "attr_counts": _with("SELECT atr_name, src, count(*) AS n, grouping(atr_name, src)::BIGINT AS level FROM (SELECT atr_name, src FROM attrs UNION ALL SELECT atr_name, src FROM rattrs) GROUP BY ROLLUP (atr_name, src)", _KB),
     "invalid_names": f"SELECT potency_amount, count(*) AS n FROM nhp_medicinal_ingredients WHERE {_invalid('potency_amount')} GROUP BY potency_amount",
@@ -319,13 +363,29 @@ SQL: dict[str, str] = {
     "link_rules": _with("SELECT id, m AS matched, term, code FROM qs JOIN organs USING (k)", _ORGANS),
     "link_rules_best": _with("SELECT id, m AS matched, code FROM qs JOIN organs USING (k)", _ORGANS),
     "linkables": _with("SELECT * FROM lk", _KB, _PREF, _LINKABLE),
-    "rewritten_concepts": _with(
-        "SELECT concept_type, count(*) AS n FROM (SELECT concept_type FROM concepts WHERE cidx NOT IN (SELECT cidx FROM lk) UNION ALL SELECT concept_type FROM cl JOIN concepts c ON c.cidx = cl.old) GROUP BY concept_type",
-        _KB, _PREF, _LINKABLE, _CLONES,
+    "captured_links": _with("SELECT id, matched, term, code, score FROM cap WHERE st IN ('DIS', 'SS')", _KB, _PREF, _CAPTURED),
+    "captured_links_best": _with("SELECT id, matched, code, score FROM cap WHERE score >= 800 QUALIFY row_number() OVER (PARTITION BY id, matched ORDER BY score DESC, ref_id) <= 2", _KB, _PREF, _CAPTURED),
+    "annotator_links": _with("SELECT id, matched, term, code FROM svc QUALIFY row_number() OVER (PARTITION BY id, matched ORDER BY at0, code) = 1", _KB, _PREF, _CAPTURED),
+    "routed_links": _with(
+        "SELECT id, 'rules' AS terminology, m AS matched, code, 0.0::DOUBLE AS score FROM qs JOIN organs USING (k) UNION ALL (SELECT id, 'mapper', matched, code, score FROM cap WHERE score >= 800 AND id IN (SELECT id FROM lk JOIN concepts USING (cidx) WHERE concept_type = 'DIS') QUALIFY row_number() OVER (PARTITION BY id, matched ORDER BY score DESC, ref_id) = 1) "
+        "UNION ALL (SELECT id, 'service', matched, code, 0.0 FROM svc WHERE id IN (SELECT id FROM lk JOIN concepts USING (cidx) WHERE concept_type = 'SS') QUALIFY row_number() OVER (PARTITION BY id, matched ORDER BY at0, code) = 1)",
+        _KB, _PREF, _CAPTURED, _ORGANS,
+    ),
+    "rewritten_concepts": _with("SELECT * FROM concepts WHERE cidx NOT IN (SELECT cidx FROM gone) UNION ALL SELECT cidx, ui, concept_type, prefix, num FROM ncon", _KB, _PREF, _LINKABLE, _CLONES, _NEW),
+    "rewritten_atoms": _with(
+        "SELECT a.cidx, a.pos, term, src, src_id, term_type, is_preferred, linking_score, x.s.linked_string AS linked_string FROM atoms a JOIN atoms_ x USING (cidx, pos) WHERE cidx NOT IN (SELECT cidx FROM gone) "
+        "UNION ALL SELECT nw.cidx, a.pos, term, src, src_id, term_type, is_preferred, linking_score, x.s.linked_string FROM atoms a JOIN atoms_ x USING (cidx, pos) JOIN nw ON nw.old = a.cidx "
+        "UNION ALL SELECT cidx, (1000000 + row_number() OVER (PARTITION BY cidx ORDER BY code))::INT, term, 'UMLS', code, 'SY', true, 1.0, text FROM cand",
+        _KB, _PREF, _LINKABLE, _CLONES, _NEW,
+    ),
+    "rewritten_attributes": _with(
+        "SELECT * FROM attrs WHERE cidx NOT IN (SELECT cidx FROM gone) UNION ALL SELECT nw.cidx, pos, atr_name, atr_value, src FROM attrs JOIN nw ON nw.old = attrs.cidx "
+        "UNION ALL SELECT cidx, (1000000 + row_number() OVER (PARTITION BY cidx ORDER BY st))::INT, 'umls_semantic_type', st, 'UMLS' FROM (SELECT DISTINCT cidx, st FROM cand)",
+        _KB, _PREF, _LINKABLE, _CLONES, _NEW,
     ),
     "rewritten_relationships": _with(
-        "SELECT rel_name, count(*) AS n FROM (SELECT r.rel_name, r.object_ui FROM rels r WHERE r.cidx NOT IN (SELECT cidx FROM lk) UNION ALL SELECT r.rel_name, r.object_ui FROM rels r JOIN cl ON cl.old = r.cidx) r JOIN (SELECT c.ui FROM cl JOIN concepts c ON c.cidx = cl.old) o ON o.ui = r.object_ui GROUP BY rel_name",
-        _KB, _PREF, _LINKABLE, _CLONES,
+        "SELECT r.cidx, (row_number() OVER (PARTITION BY r.cidx ORDER BY r.ridx, n.ui) - 1)::INT AS ridx, r.rel_name, n.ui AS object_ui, r.src FROM (SELECT * FROM rels WHERE cidx NOT IN (SELECT cidx FROM gone) UNION ALL SELECT nw.cidx, ridx, rel_name, object_ui, src FROM rels JOIN nw ON nw.old = rels.cidx) r JOIN ncon n ON n.old_ui = r.object_ui",
+        _KB, _PREF, _LINKABLE, _CLONES, _NEW,
     ),
     "rrf_mrsty": _with('SELECT cui AS "CUI", concept_type AS "STY" FROM concepts JOIN ids USING (cidx)', _KB, _IDS),
     "rrf_mrconso": _with(
@@ -336,15 +396,24 @@ SQL: dict[str, str] = {
         _KB, _IDS,
     ),
     "rrf_mrrel": _with("SELECT 'DR' || ro.cidx || '_' || ridx AS \"RUI\", a.cui AS \"CUI1\", rel_name AS \"REL\", b.cui AS \"CUI2\", src AS \"SAB\" FROM ro JOIN ids a ON a.cidx = ro.cidx JOIN ids b ON b.cidx = object_cidx", _KB, _IDS),
-    "graph_nodes": _with("SELECT cui AS id, concept_type AS label, p.term AS name FROM concepts JOIN ids USING (cidx) LEFT JOIN pref p USING (cidx) UNION ALL SELECT 'DA' || cidx || '_' || pos, concept_type || '_ATOM', term FROM atoms JOIN concepts USING (cidx)", _KB, _IDS, _PREF),
-    "graph_edges": _with("SELECT cui AS src_id, 'has_synonym' AS type, 'DA' || cidx || '_' || pos AS dst_id FROM atoms JOIN ids USING (cidx) UNION ALL SELECT a.cui, rel_name, b.cui FROM ro JOIN ids a ON a.cidx = ro.cidx JOIN ids b ON b.cidx = object_cidx", _KB, _IDS),
+    "graph_nodes": _with(
+        "SELECT cui AS id, concept_type AS label, p.term AS name, properties FROM concepts JOIN ids USING (cidx) LEFT JOIN pref p USING (cidx) LEFT JOIN props USING (cidx) UNION ALL SELECT 'DA' || cidx || '_' || pos, concept_type || '_ATOM', term, 'is_preferred=' || is_preferred || coalesce('; src=' || src, '') || coalesce('; src_id=' || src_id, '') FROM atoms JOIN concepts USING (cidx)",
+        _KB, _IDS, _PREF, _PROPS,
+    ),
+    "graph_edges": _with(
+        "SELECT cui AS src_id, 'has_synonym' AS type, 'DA' || cidx || '_' || pos AS dst_id, NULL AS properties FROM atoms JOIN ids USING (cidx) UNION ALL SELECT a.cui, rel_name, b.cui, properties FROM ro JOIN ids a ON a.cidx = ro.cidx JOIN ids b ON b.cidx = object_cidx LEFT JOIN rprops p ON p.cidx = ro.cidx AND p.ridx = ro.ridx",
+        _KB, _IDS, _PROPS,
+    ),
     "mth_conso": _with(
-        "SELECT CUI AS \"CUI\", '' AS \"AUI\", 'REF' AS \"SAB\", ref_term AS \"STR\" FROM refs UNION ALL SELECT o.CUI, 'DA' || a.cidx || '_' || a.pos, 'TLKB', a.term FROM owner o JOIN matoms a USING (cidx) WHERE coalesce(a.src, '') <> 'UMLS' AND NOT regexp_matches(a.term, '[^\\x00-\\x7F]')",
-        _KB, _MTH,
+        "SELECT CUI AS \"CUI\", '' AS \"LAT\", '' AS \"TS\", '' AS \"LUI\", '' AS \"STT\", '' AS \"SUI\", '' AS \"ISPREF\", '' AS \"AUI\", '' AS \"SAUI\", '' AS \"SCUI\", '' AS \"SDUI\", 'REF' AS \"SAB\", '' AS \"TTY\", '' AS \"CODE\", ref_term AS \"STR\", '' AS \"SRL\", '' AS \"SUPPRESS\", '' AS \"CVF\", '' AS \"END\" FROM refs "
+        "UNION ALL SELECT o.CUI, 'ENG', 'S', 'DL' || a.cidx || '_' || a.pos, 'PF', 'DS' || a.cidx || '_' || a.pos, 'N', 'DA' || a.cidx || '_' || a.pos, '', '', '', 'TLKB', x.s.term_type, ids.cui, a.term, '0', 'N', '', '' FROM owner o JOIN matoms a USING (cidx) JOIN atoms_ x USING (cidx, pos) JOIN ids USING (cidx) WHERE coalesce(a.src, '') <> 'UMLS' AND NOT regexp_matches(a.term, '[^\\x00-\\x7F]')",
+        _KB, _IDS, _MTH,
     ),
     "mth_semtypes": _with(
-        "SELECT CUI AS \"CUI\", TUI AS \"TUI\" FROM refs UNION ALL (SELECT DISTINCT CUI, TUI FROM (SELECT o.CUI, CASE lower(a.atr_value) WHEN 'phsu' THEN 'T121' WHEN 'sosy' THEN 'T184' WHEN 'dsyn' THEN 'T047' WHEN 'fndg' THEN 'T033' END AS TUI FROM owner o JOIN attrs a USING (cidx) WHERE atr_name = 'umls_semantic_type' AND atr_value IN ('phsu', 'sosy', 'dsyn', 'fndg') UNION SELECT CUI, 'T121' FROM owner) WHERE (CUI, TUI) NOT IN (SELECT (CUI, TUI) FROM refs))",
+        "SELECT CUI AS \"CUI\", TUI AS \"TUI\", '' AS \"STN\", '' AS \"STY\", printf('AT%08d', ref_id) AS \"ATUI\", '' AS \"CVF\" FROM refs UNION ALL SELECT CUI, TUI, tree, long, printf('DAT%07d', (SELECT max(ref_id) FROM refs) + row_number() OVER (ORDER BY CUI || '|' || TUI)), '111' FROM added",
         _KB, _MTH,
+        "types(short, TUI, tree, long) AS (VALUES ('phsu', 'T121', 'A1.4.1.1.1', 'Pharmacologic Substance'), ('sosy', 'T184', 'A2.2.2', 'Sign or Symptom'), ('dsyn', 'T047', 'B2.2.1.2.1', 'Disease or Syndrome'), ('fndg', 'T033', 'A2.2', 'Finding'))",
+        "added AS (SELECT DISTINCT CUI, TUI, tree, long FROM (SELECT o.CUI, t.TUI, t.tree, t.long FROM owner o JOIN attrs a USING (cidx) JOIN types t ON t.short = a.atr_value OR t.TUI = a.atr_value WHERE atr_name = 'umls_semantic_type' UNION SELECT o.CUI, t.TUI, t.tree, t.long FROM owner o, types t WHERE t.short = 'phsu') WHERE (CUI, TUI) NOT IN (SELECT (CUI, TUI) FROM refs))",
     ),
     "mth_new_cuis": _with('SELECT cidx, CUI AS "CUI" FROM fresh', _KB, _MTH),
     "mth_source_row": _with("SELECT 'TLKB_v1.0.1' AS \"VSAB\", 'TLKB' AS \"RSAB\", '1.0.1' AS \"SVER\", count(*) AS \"TFR\", count(DISTINCT ui) AS \"CFR\", 'SN,CN,SY' AS \"TTYL\", 'ENG' AS \"LAT\", 'UTF-8' AS \"CENC\", 'Y' AS \"CURVER\", 'Y' AS \"SABIN\" FROM atoms JOIN concepts USING (cidx) WHERE concept_type = 'SDSI'", _KB),

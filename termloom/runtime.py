@@ -121,7 +121,15 @@ def durable(df: DataFrame) -> DataFrame:
     ship(spark)
     path = scratch(spark)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept._termloom_path = path
+    return kept
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove the files of tables that ``durable`` wrote and nothing reads any more."""
+    for df in tables:
+        _remove(df.sparkSession, df._termloom_path)
 
 
 #: Rows of a range that ``positions`` numbers in one task.
