@@ -54,7 +54,8 @@ def test_components_random(spark, seed):
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(40)] + [(200, 201 + i) for i in range(30)]
     rng.shuffle(edges)
     df = spark.createDataFrame(edges + edges[:5] + [(None, 3), (4, None)], "i bigint, j bigint")
-    assert {r["v"]: r["root"] for r in resolve.components(df).collect()} == brute(edges)
+    for one_task in (0, resolve.ONE_TASK_LINKS):
+        assert {r["v"]: r["root"] for r in resolve.components(df, one_task).collect()} == brute(edges)
 
 
 def test_components_empty(spark):
@@ -158,3 +159,23 @@ def test_remove_source_cascade(spark):
 def test_surrogate_ids_follow_first_appearance(spark):
     df = spark.createDataFrame([("b", 0), ("a", 1), ("b", 2), (None, 3), ("c", 4)], "name string, row_id bigint")
     assert {r["name"]: r["id"] for r in resolve.surrogate_ids(df, "name", "row_id").collect()} == {"b": "0001", "a": "0002", "c": "0003"}
+
+
+def test_removed_elements_must_be_there(spark):
+    table = spark.createDataFrame([(1, "a"), (1, None), (2, "a")], "cidx bigint, term string")
+    gone = spark.createDataFrame([(1, None), (1, None)], "cidx bigint, term string")
+    assert sorted(map(tuple, quality.remove_elements(table, gone, ["cidx", "term"]).collect())) == [(1, "a"), (2, "a")]
+    absent = spark.createDataFrame([(3, "a")], "cidx bigint, term string")
+    with pytest.raises(KeyError):
+        quality.remove_elements(table, absent, ["cidx", "term"])
+    assert quality.remove_elements(table, absent, ["cidx", "term"], strict=False).count() == 3
+
+
+def test_intersection_and_difference_are_merged_concepts(spark):
+    a = [("A", "S", "1", True)]
+    kb = kb_of(spark, [(0, "X0000000", "SDSI", a, []), (1, "Y0000001", "SDSI", [("a", "S", "1", True), ("B", "S", "2", False)], []), (2, "X0000002", "SDSI", [("C", "S", "3", True)], [("R", "Y0000001")])])
+    roots = spark.createDataFrame([(0, 0), (1, 0), (2, 2)], "cidx bigint, root bigint")
+    both = resolve.intersection_kb(kb, roots)
+    assert [(r["cidx"], r["ui"], r["prefix"]) for r in both.concepts.collect()] == [(0, "X0000000", "X_Y")] and both.atoms.count() == 2
+    alone = resolve.difference_kb(kb, roots)
+    assert [r["cidx"] for r in alone.concepts.collect()] == [2] and [r["object_ui"] for r in alone.relationships.collect()] == ["X0000000"]
