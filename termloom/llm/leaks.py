@@ -211,22 +211,30 @@ class ItemIndex:
                 carried[start : start + WINDOW] = True
         return float(carried.mean())
 
-    def bound(self, k: int, present: np.ndarray) -> float:
-        """An upper bound of ``share``: words in windows whose words absent from the document cost no more than EDITS."""
-        item = self.tokens[k]
-        if len(item) < WINDOW:
-            return 0.0
-        absent = np.concatenate(([0], np.cumsum(self.cost[item] * ~present[item])))
-        fits = absent[WINDOW:] - absent[:-WINDOW] <= EDITS
-        return float((np.convolve(fits, np.ones(WINDOW)) > 0).mean())
+    def bounds(self, ks: list[int], present: np.ndarray) -> np.ndarray:
+        """Upper bounds of ``share`` of items: words in windows whose words absent from the document cost no more than EDITS."""
+        size = np.asarray([len(self.tokens[k]) for k in ks])
+        words_ = np.concatenate([self.tokens[k] for k in ks])
+        if len(words_) < WINDOW:
+            return np.zeros(len(ks))
+        item = np.repeat(np.arange(len(ks)), size)
+        absent = np.concatenate(([0], np.cumsum(self.cost[words_] * ~present[words_])))
+        fits = (absent[WINDOW:] - absent[:-WINDOW] <= EDITS) & (item[WINDOW - 1 :] == item[: len(item) - WINDOW + 1])
+        opened = np.concatenate(([0], np.cumsum(fits)))
+        at = np.arange(len(words_))
+        # a word is covered if a fitting window starts at it or up to WINDOW - 1 before
+        covered = opened[np.minimum(at + 1, len(fits))] > opened[np.minimum(np.maximum(at - WINDOW + 1, 0), len(fits))]
+        return np.bincount(item, covered, minlength=len(ks)) / np.maximum(size, 1)
 
     def shares(self, tokens: np.ndarray, ks: set[int], least: float) -> Iterator[tuple[int, float]]:
         """Items among ``ks`` of which a document carries at least ``least``, and their shares."""
+        if not ks:
+            return
         present = np.zeros(len(self.vocabulary) + 1, dtype=bool)
-        if ks:
-            present[tokens] = True
-        for k in sorted(ks):
-            if self.bound(k, present) >= least and (got := self.share(k, tokens)) >= least:
+        present[tokens] = True
+        order = sorted(ks)
+        for k, most in zip(order, self.bounds(order, present)):
+            if most >= least and (got := self.share(k, tokens)) >= least:
                 yield k, got
 
 
