@@ -7,7 +7,8 @@ of a vertex exchange these representatives (the least wins), edges are
 rewritten by them, and rounds go on until no edge is left between different
 representatives.
 
-A hub's edges spread over a whole row of the grid. Representatives are compared
+A hub's edges spread over a whole row of the grid, and a cell that still holds too
+many is cut into pieces of edges, which send their offers apart. Representatives are compared
 by a hash salted with the round, so that long sorted chains also shrink by a
 constant factor each round: O(log n) rounds.
 """
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from termloom import runtime
 
-#: Edges that one block pair should hold at most, on average.
+#: Edges that one block pair should hold, on average, and that a piece of it holds at most, about.
 CELL_EDGES = 500_000
 
 
@@ -71,7 +72,13 @@ def _one_round(edges: DataFrame, blocks: int, turn: int) -> DataFrame:
     block = lambda c: F.pmod(F.col(c), F.lit(blocks))
     cells = edges.withColumn("hu", h("u")).withColumn("hv", h("v")).withColumn("bu", block("hu")).withColumn("bv", block("hv"))
     cells = cells.withColumn("cell", F.least("bu", "bv") * blocks + F.greatest("bu", "bv")).select("u", "v", "hu", "hv", "cell")
-    offers = cells.groupBy("cell").applyInPandas(_cell, f"v {kind}, root {kind}, h bigint")
+    if blocks > 1:
+        # at most edges / CELL_EDGES cells are over size
+        over = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CELL_EDGES).select("cell", F.ceil(F.col("n") / CELL_EDGES).alias("pieces"))
+        cells = cells.join(F.broadcast(over), "cell", "left").withColumn("piece", F.coalesce(F.pmod(F.xxhash64("u", "v"), F.col("pieces")), F.lit(0))).drop("pieces")
+    else:
+        cells = cells.withColumn("piece", F.lit(0).cast("bigint"))
+    offers = cells.groupBy("cell", "piece").applyInPandas(_cell, f"v {kind}, root {kind}, h bigint")
     return offers.groupBy("v").agg(F.min(F.struct("h", "root")).getField("root").alias("root"))
 
 
@@ -90,14 +97,18 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     maps: list[DataFrame] = []
     turn = 0
     while count:
-        blocks = max(2, math.ceil(math.sqrt(count / CELL_EDGES)))
+        blocks = max(1, math.ceil(math.sqrt(count / CELL_EDGES)))
         step = runtime.durable(_one_round(left, blocks, turn))
         maps.append(step)
+        if blocks == 1:  # one cell held all edges, so its roots are final
+            break
         hot = runtime.hot_keys(left, "u", count)
         moved = runtime.lookup(left, step.select(F.col("v").alias("u"), F.col("root").alias("ru")), "u", F.col("v"), hot, "inner").select("ru", "v")
         hot = runtime.hot_keys(moved, "v", count)
         moved = runtime.lookup(moved, step.select("v", F.col("root").alias("rv")), "v", F.col("ru"), hot, "inner")
-        left = runtime.durable(moved.where("ru <> rv").select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).distinct())
+        last, left = left, runtime.durable(moved.where("ru <> rv").select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).distinct())
+        if turn:
+            runtime.drop(last)
         count = left.count()
         turn += 1
     if not maps:
