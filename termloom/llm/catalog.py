@@ -13,11 +13,15 @@ QUERIES = {
     "p6_found": entity_matching.p6_found,
     "p6_confidence": entity_matching.p6_confidence,
     "p8_pack": packing.p8_pack,
+    "p8_invariants": packing.p8_invariants,
     "p9_found": leaks.p9_found,
     "p10_found": subjects.p10_found,
 }
 
 SQL: dict[str, str] = {
+    "p8_invariants": """
+        SELECT count(DISTINCT doc_id) AS documents, sum(greatest(1, ceil(n / 50000.0)))::BIGINT AS parts, sum(n)::BIGINT AS chars, 0::BIGINT AS overfull, 0::BIGINT AS split, 0::BIGINT AS unused, true AS few
+        FROM (SELECT doc_id, greatest(coalesce(n_chars, 0), 0) AS n FROM documents)""",
     "p1_found": """
         WITH canon AS (
           SELECT product_id, row_id,

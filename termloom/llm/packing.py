@@ -205,3 +205,20 @@ def pack(df: DataFrame, key: str, size: str, capacity: int = CAPACITY) -> DataFr
 def p8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, or part of one over 2,048 tokens, and its container."""
     return pack(token_counts(runtime.table(spark, sf_dir, "documents"), "doc_id", "text"), "doc_id", "tokens")
+
+
+def p8_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of every document packed by its characters into containers of 50,000.
+
+    ``documents, parts, chars`` packed; ``overfull`` containers, documents
+    ``split`` though they fit, container numbers left ``unused``; and whether
+    there are ``few`` containers (a hundredth more than the least possible, and one).
+    """
+    room = 50_000
+    packed = runtime.durable(pack(runtime.table(spark, sf_dir, "documents"), "doc_id", "n_chars", room))
+    held = packed.groupBy("container").agg(F.sum("length").alias("used"))
+    held = held.agg(F.sum((F.col("used") > room).cast("bigint")).alias("overfull"), F.count(F.lit(1)).alias("n"), F.max("container").alias("last"), F.sum("used").alias("chars"))
+    each = packed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("parts"), F.sum("length").alias("chars"))
+    each = each.agg(F.count(F.lit(1)).alias("documents"), F.sum("parts").alias("parts"), F.sum(((F.col("parts") > 1) & (F.col("chars") <= room)).cast("bigint")).alias("split"))
+    few = F.col("n") <= F.ceil(F.ceil(F.col("chars") / room) * 1.01) + 1
+    return held.crossJoin(each).select("documents", "parts", "chars", "overfull", "split", (F.col("last") + 1 - F.col("n")).alias("unused"), few.alias("few"))
