@@ -31,7 +31,7 @@ WINDOW = 12
 #: Letters that a name without its vowels must have to be a key.
 LEAST_BARE = 3
 #: Rows of a sorted list that one task should hold.
-TASK_ROWS = 100_000
+TASK_ROWS = 20_000
 #: Similarity from which a pair of names is a candidate, and from which it counts as the same name.
 NEAR, SAME = 0.70, 0.76
 #: Least similarity of any word of a name with its counterpart: a long word, and a short one, in which one slip weighs more.
@@ -166,7 +166,10 @@ def near_names(names: DataFrame, window: int = WINDOW) -> DataFrame:
     pairs = met.join(one, "key_1").join(two, "key_2").select("name_1", "name_2").distinct()
     own = F.struct("plain", "ordered", "words", "ends")
     one, two = (names.where(F.col("side") == k).select(F.col("name").alias(f"name_{k + 1}"), own.alias("ab"[k])) for k in (0, 1))
-    return pairs.join(one, "name_1").join(two, "name_2").where(likeness(F.col("a"), F.col("b")) >= NEAR).select("name_1", "name_2")
+    # the longer of two names of that likeness is longer by little
+    sizes = F.length("a.plain"), F.length("b.plain")
+    near = F.greatest(*sizes) - F.least(*sizes) <= (1 - NEAR) * F.greatest(*sizes) + 1e-9
+    return pairs.join(one, "name_1").join(two, "name_2").where(near).where(likeness(F.col("a"), F.col("b")) >= NEAR).select("name_1", "name_2")
 
 
 def match(names: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -214,21 +217,22 @@ def match(names: DataFrame, window: int = WINDOW) -> DataFrame:
     pairs = pairs.join(same.where("side = 1").select(F.col("id").alias("id_2"), F.col("names").alias("theirs")), "id_2")
     is_common = lambda x: F.arrays_overlap(x["words"], F.array(*[F.lit(w) for w in common])) if common else F.lit(False)
 
-    def best(theirs: Column, ours: Column, fit) -> Column:
-        scores = F.flatten(F.transform(theirs, lambda t: F.transform(ours, lambda o: F.when(fit(t, o), likeness(t, o)).otherwise(0.0))))
-        return F.coalesce(F.array_max(scores), F.lit(0.0))
-
-    alike = lambda t, o: t["marks"] == o["marks"]
-    proper = best(F.col("theirs"), F.col("ours"), lambda t, o: o["proper"] & alike(t, o))
-    other = best(F.col("theirs"), F.col("ours"), lambda t, o: ~o["proper"] & alike(t, o))
-    explained = F.filter("theirs", lambda t: F.exists("ours", lambda o: alike(t, o) & (likeness(t, o) >= SAME)))
-    share = F.size(explained) / F.size("theirs")
-    other_marks = F.exists("theirs", lambda t: F.exists("ours", lambda o: o["proper"] & ~alike(t, o) & (likeness(t, o) >= SAME) & (t["marks"] != "")))
-    unexplained = F.filter("theirs", lambda t: ~F.exists("ours", lambda o: likeness(t, o) >= SAME))
-    stranger = F.exists(unexplained, lambda t: (F.size(t["words"]) >= 2) & ~is_common(t))
-    sibling = F.exists(unexplained, lambda t: F.exists("ours", lambda o: o["proper"] & F.arrays_overlap(t["words"], o["words"])))
-    scored = pairs.withColumn("proper", proper).withColumn("other", other).withColumn("share", share)
-    scored = scored.withColumn("against", other_marks | stranger | sibling)
+    # every name of the one against every name of the other, once; what follows only looks at these cells
+    def cell(t: Column, i: Column, o: Column) -> Column:
+        return F.struct(
+            i.alias("i"), likeness(t, o).alias("s"), o["proper"].alias("proper"), (t["marks"] == o["marks"]).alias("alike"), (t["marks"] != "").alias("marked"),
+            ((F.size(t["words"]) >= 2) & ~is_common(t)).alias("own"), F.arrays_overlap(t["words"], o["words"]).alias("shares"),
+        )
+
+    cells = F.flatten(F.transform("theirs", lambda t, i: F.transform("ours", lambda o: cell(t, i, o))))
+    scored = pairs.withColumn("cells", cells)
+    best = lambda fit: F.coalesce(F.array_max(F.transform(F.filter("cells", fit), lambda c: c["s"])), F.lit(0.0))
+    names_met = lambda fit: F.array_distinct(F.transform(F.filter("cells", lambda c: fit(c) & (c["s"] >= SAME)), lambda c: c["i"]))
+    scored = scored.withColumn("proper", best(lambda c: c["proper"] & c["alike"])).withColumn("other", best(lambda c: ~c["proper"] & c["alike"]))
+    scored = scored.withColumn("share", F.size(names_met(lambda c: c["alike"])) / F.size("theirs")).withColumn("met", names_met(lambda c: F.lit(True)))
+    other_marks = F.exists("cells", lambda c: c["proper"] & ~c["alike"] & c["marked"] & (c["s"] >= SAME))
+    stranger_or_sibling = F.exists("cells", lambda c: (c["own"] | c["proper"] & c["shares"]) & ~F.array_contains("met", c["i"]))
+    scored = scored.withColumn("against", other_marks | stranger_or_sibling)
     holds = (F.col("proper") >= SAME) | ((F.col("other") >= SAME) & ~F.col("against"))
     scored = scored.where(holds).withColumn("confidence", 0.6 * F.col("proper") + 0.25 * F.col("other") + 0.15 * F.col("share"))
     rank = F.row_number().over(Window.partitionBy("id_2").orderBy(F.desc(F.col("proper") >= SAME), F.desc("confidence"), "id_1"))
