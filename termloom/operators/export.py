@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom import runtime
@@ -17,12 +17,10 @@ def concept_ids(kb: KB) -> DataFrame:
     """``cidx, cui``: the concept's number under the prefix DC; numbers that collide are given anew after the highest."""
     c = kb.concepts.select("cidx", "num")
     high = F.coalesce(F.max("num"), F.lit(0)).alias("high")
-    w = Window.partitionBy("num").orderBy("cidx")
-    ranked = runtime.durable(c.withColumn("n", F.when(F.col("num").isNull(), 2).otherwise(F.row_number().over(w))))
-    again = ranked.where("n > 1").select("cidx").withColumn("one", F.lit(1))
+    kept = runtime.durable(c.where("num is not null").groupBy("num").agg(F.min("cidx").alias("cidx")).select("cidx", "num"))
+    again = c.select("cidx").join(kept, "cidx", "left_anti").withColumn("one", F.lit(1))
     fresh = _running(again, "cidx", "one").crossJoin(F.broadcast(c.agg(high)))
     fresh = fresh.select("cidx", (F.col("high") + 1 + F.col("start")).alias("num"))
-    kept = ranked.where("n = 1").select("cidx", "num")
     return kept.unionByName(fresh).select("cidx", text.ui("DC", F.col("num")).alias("cui"))
 
 
@@ -88,7 +86,8 @@ def graph(kb: KB, preferred: DataFrame, ids: DataFrame, lists: bool = False) ->
     own = kb.rel_attributes.where("atr_name is not null").groupBy("cidx", "ridx", "atr_name").agg(F.max_by("atr_value", "pos").alias("v"))
     own = own.groupBy("cidx", "ridx").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("atr_name", "v")))).alias("m")).select("cidx", "ridx", F.to_json("m").alias("properties"))
     rels = resolve_objects(kb).where("object_cidx is not null").join(own, ["cidx", "ridx"], "left").join(ids, "cidx")
-    rels = rels.join(ids.select(F.col("cidx").alias("object_cidx"), F.col("cui").alias("dst_id")), "object_cidx")
+    objects = ids.select(F.col("cidx").alias("object_cidx"), F.col("cui").alias("dst_id"))
+    rels = runtime.lookup(rels, objects, "object_cidx", F.struct("cidx", "ridx"), runtime.hot_keys(rels, "object_cidx"), "inner")
     return nodes, has.unionByName(rels.select(F.col("cui").alias("src_id"), F.col("rel_name").alias("type"), "dst_id", "properties"))
 
 

@@ -208,6 +208,16 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
+def _numbered(df: DataFrame, group: str, order: list[str], name: str, hot: bool) -> DataFrame:
+    """``df`` with its rows numbered from 0 within ``group``; with ``hot`` groups of any size are spread over tasks."""
+    if not hot:
+        return df.withColumn(name, (F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1).cast("int"))
+    placed = runtime.durable(runtime.positions(df, [group, *order], "__p"))
+    starts = placed.groupBy(group).agg(F.min("__p").alias("__low"))
+    found = runtime.lookup(placed, starts, group, F.col("__p"), runtime.hot_keys(placed, group), "inner")
+    return found.withColumn(name, (F.col("__p") - F.col("__low")).cast("int")).drop("__p", "__low")
+
+
 def merge(kb: KB, roots: DataFrame, dedupe: bool = False) -> KB:
     """The knowledge base with every concept's content under its root, the first of equal elements kept.
 
@@ -238,13 +248,14 @@ def merge(kb: KB, roots: DataFrame, dedupe: bool = False) -> KB:
     rels = runtime.durable(rels)
     kept = rels.select("cidx", "ridx", "root")
     owned = kb.rel_attributes.join(kept, ["cidx", "ridx"])
-    place = lambda d, o: d.withColumn("pos", (F.row_number().over(Window.partitionBy("root").orderBy("later", "cidx", o)) - 1).cast("int")).drop("later", "cidx").withColumnRenamed("root", "cidx")
-    numbered = rels.withColumn("new", (F.row_number().over(Window.partitionBy("root").orderBy("later", "cidx", "ridx")) - 1).cast("int"))
+    hot = bool(runtime.hot_keys(r, "root") or runtime.hot_keys(kb.atoms, "cidx"))
+    place = lambda d: _numbered(d.withColumnRenamed("pos", "old"), "root", ["later", "cidx", "old"], "pos", hot).drop("later", "cidx", "old").withColumnRenamed("root", "cidx")
+    numbered = _numbered(rels, "root", ["later", "cidx", "ridx"], "new", hot)
     owned = owned.drop("root").join(numbered.select("cidx", "ridx", "root", "new"), ["cidx", "ridx"])
     return KB(
         concepts=concepts,
-        atoms=place(atoms.withColumnRenamed("pos", "old"), "old").drop("old"),
-        attributes=place(attributes.withColumnRenamed("pos", "old"), "old").drop("old"),
+        atoms=place(atoms).select(*kb.atoms.columns),
+        attributes=place(attributes).select(*kb.attributes.columns),
         rel_attributes=owned.select(F.col("root").alias("cidx"), F.col("new").alias("ridx"), "pos", "atr_name", "atr_value", "src"),
         relationships=numbered.select(F.col("root").alias("cidx"), F.col("new").alias("ridx"), "rel_name", "object_ui", "src"),
     )

@@ -179,3 +179,15 @@ def test_intersection_and_difference_are_merged_concepts(spark):
     assert [(r["cidx"], r["ui"], r["prefix"]) for r in both.concepts.collect()] == [(0, "X0000000", "X_Y")] and both.atoms.count() == 2
     alone = resolve.difference_kb(kb, roots)
     assert [r["cidx"] for r in alone.concepts.collect()] == [2] and [r["object_ui"] for r in alone.relationships.collect()] == ["X0000000"]
+
+
+def test_merge_of_a_hot_group_numbers_alike(spark, monkeypatch):
+    """Places are the same whether a group is one task's or spread over many."""
+    concepts = [(k, f"X{k:07d}", "SDSI", [(f"t{k}{x}", "S", str(x), True) for x in range(3)], [("R", f"X{(k + 1) % 30:07d}")]) for k in range(30)]
+    kb = kb_of(spark, concepts)
+    roots = spark.createDataFrame([(k, 0 if k < 20 else k) for k in range(30)], "cidx bigint, root bigint")
+    tables = lambda: [sorted(map(tuple, t.drop("attrs").collect())) for t in (lambda m: (m.atoms, m.attributes, m.relationships, m.rel_attributes))(resolve.merge(kb, roots))]
+    plain = tables()
+    monkeypatch.setattr(resolve.runtime, "HOT_ROWS", 5)
+    monkeypatch.setattr(resolve.runtime, "RANGE_ROWS", 7)
+    assert tables() == plain
