@@ -13,10 +13,12 @@ hashed buckets, so no length gathers in one task, and hold under recomputation.
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -44,11 +46,16 @@ def _encoding(path: str):
 
 
 def token_counts(df: DataFrame, key: str, text: str, tokenizer: str = TOKENIZER) -> DataFrame:
-    """``<key>, tokens``: the length of every text in tokens; a null text has none."""
+    """``<key>, tokens``: the length of every text in tokens; a null text has none.
+
+    The vocabulary's file is on the driver and is sent to the executors.
+    """
     kind = dict(df.dtypes)[key]
+    df.sparkSession.sparkContext.addFile(tokenizer)
+    name = os.path.basename(tokenizer)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoding = _encoding(tokenizer)
+        encoding = _encoding(SparkFiles.get(name))
         for batch in batches:
             counts = [len(encoding.encode_ordinary(t)) if t else 0 for t in batch["text"]]
             yield pd.DataFrame({key: batch["key"], "tokens": np.asarray(counts, dtype=np.int64)})
